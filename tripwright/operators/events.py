@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,6 @@ from tripwright.functions.text import over_limit_info
 from tripwright.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, salted_pair
 from tripwright.schemas import (
     DEFAULT_CATEGORY,
-    DRIVING_EVENT_CODES,
     SATELLITE_DEVICES,
     SPEED_RULES,
 )
@@ -55,30 +54,35 @@ def rules_of(
     return F.coalesce(*[book[c] for c in asked], book[F.lit(DEFAULT_CATEGORY)])
 
 
-def classify(rules: Column, speed: Column, previous: Column) -> Column:
-    """Name of the driving event between two neighbouring moves, NULL if there is none.
+def classify(bounds: Callable[[str], tuple[object, object, object] | None]) -> str:
+    """SQL text for the driving event between two neighbouring moves, NULL if there is none.
 
     While speeding up ``start`` is tried before ``accel``, while slowing down ``stop`` before
-    ``deaccel``. If the first of a pair has no rule, the second is not tried.
+    ``deaccel``. If the first of a pair has no rule, the second is not tried. ``bounds`` gives
+    the three values of an event's rule as numbers or SQL text.
     """
-    change = speed - previous
-
-    def hit(event: str) -> Column:
-        low, step, high = rules[event][0], rules[event][1], rules[event][2]
-        rising = (change >= step) & ((low < 0) | (previous <= low))
-        falling = (
-            (change <= step) & ((low < 0) | (previous >= low)) & ((high < 0) | (speed <= high))
+    change = "(speed_mh - prev_speed_mh)"
+
+    def hit(event: str) -> str:
+        found = bounds(event)
+        if found is None:
+            return "false"
+        low, step, high = found
+        return (
+            f"if({step} > 0, {change} >= {step} AND ({low} < 0 OR prev_speed_mh <= {low}),"
+            f" {change} <= {step} AND ({low} < 0 OR prev_speed_mh >= {low})"
+            f" AND ({high} < 0 OR speed_mh <= {high}))"
         )
-        return F.when(step > 0, rising).otherwise(falling)
 
-    def first_of(one: str, two: str) -> Column:
-        return F.when(rules[one].isNull(), F.lit(None)).when(hit(one), F.lit(one)).when(
-            hit(two), F.lit(two)
-        )
+    def pair(sign: str, one: str, two: str) -> str:
+        found = bounds(one)
+        if found is None:
+            return ""
+        start = f"WHEN {change} {sign} 0 AND {found[1]} IS NOT NULL AND"
+        return f"{start} {hit(one)} THEN '{one}' {start} {hit(two)} THEN '{two}'"
 
-    return F.when(change > 0, first_of("start", "accel")).when(
-        change < 0, first_of("stop", "deaccel")
-    )
+    cases = pair(">", "start", "accel") + " " + pair("<", "stop", "deaccel")
+    return f"CASE {cases} END" if cases.strip() else "cast(NULL AS string)"
 
 
 def with_traffic_event(
@@ -86,9 +90,17 @@ def with_traffic_event(
     category: str | None = None,
     rules: Mapping[str, Mapping[str, str]] = SPEED_RULES,
 ) -> DataFrame:
-    """Add ``event`` to moves made with ``prev_speed_mh``."""
-    book = rules_of(None, F.col(category) if category else None, rules)
-    return moves.withColumn("event", classify(book, F.col("speed_mh"), F.col("prev_speed_mh")))
+    """Add ``event`` to moves made with ``prev_speed_mh``.
+
+    The rules are those of the vehicle ``category`` column, or the default ones without it.
+    """
+    if category is None:
+        default = rules[DEFAULT_CATEGORY]
+        event = classify(lambda e: tuple(rule_numbers(default[e])) if e in default else None)
+        return moves.withColumn("event", F.expr(event))
+    event = classify(lambda e: tuple(f"_rules['{e}'][{i}]" for i in range(3)))
+    ruled = moves.withColumn("_rules", rules_of(None, F.col(category), rules))
+    return ruled.withColumn("event", F.expr(event)).drop("_rules")
 
 
 def from_satellite(device: str = "device_type") -> Column:
@@ -212,8 +224,3 @@ def all_events(driving: DataFrame, limits: DataFrame) -> DataFrame:
     return driving.withColumn("source", F.lit("check_event")).unionByName(
         limits.withColumn("source", F.lit("check_over_limit"))
     )
-
-
-def event_name(code: Column) -> Column:
-    pairs = [x for n, c in DRIVING_EVENT_CODES.items() for x in (F.lit(c), F.lit(n))]
-    return F.create_map(*pairs)[code]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.operators.skew import ROWS_PER_TASK, salted_pair
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, heavy_keys, salted_pair
 
 HOUR_MS = 3_600_000
 # Buckets that one interval may touch before it moves to a 16 times coarser time grid.
@@ -42,6 +42,16 @@ def with_unmatched(
     return matched.unionByName(left.join(keys, key, "left_anti"), allowMissingColumns=True)
 
 
+def grid_levels(
+    intervals: DataFrame, start: str, end: str, bucket_ms: int = HOUR_MS
+) -> list[int]:
+    """Time grids in use by a set of intervals, at most eleven numbers."""
+    leveled = intervals.where(F.col(start) <= F.col(end)).select(
+        _level(F.col(start), F.col(end), bucket_ms).alias("_level")
+    )
+    return sorted(r["_level"] for r in leveled.distinct().collect())
+
+
 def range_join(
     intervals: DataFrame,
     instants: DataFrame,
@@ -52,43 +62,53 @@ def range_join(
     spread: Sequence[str],
     limit: int = ROWS_PER_TASK,
     bucket_ms: int = HOUR_MS,
+    levels: Sequence[int] | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Inner join where ``start <= at <= end`` for equal ``on`` columns.
 
     Both sides meet in time buckets, so the rows of a vehicle spread over its history. A long
     interval uses a coarser grid; an instant is looked up once per grid in use, nearly always
-    one. Buckets with very many instants are salted by the ``spread`` columns. Every instant has
-    one bucket per grid, so no pair appears twice.
+    one. Every instant has one bucket per grid, so no pair appears twice. Where some ``on`` key
+    is heavy, its buckets with too many instants are salted by the ``spread`` columns.
+
+    ``levels`` and ``heavy`` may be passed on from ``grid_levels`` and ``heavy_keys``.
     """
+    if levels is None:
+        levels = grid_levels(intervals, start, end, bucket_ms)
+    if heavy is None:
+        heavy = heavy_keys(instants, on, limit)
     begin, stop = F.col(start), F.col(end)
-    level = F.lit(MAX_LEVEL)
-    for step in reversed(range(MAX_LEVEL)):
-        width = bucket_ms * 16**step
-        touched = _bucket(stop, F.lit(width)) - _bucket(begin, F.lit(width))
-        level = F.when(touched < MAX_BUCKETS, F.lit(step)).otherwise(level)
-    leveled = intervals.where(begin <= stop).withColumn("_level", level)
-
-    # At most eleven numbers.
-    levels = sorted(r["_level"] for r in leveled.select("_level").distinct().collect()) or [0]
     width = F.element_at(
         F.array(*[F.lit(bucket_ms * 16**x).cast("bigint") for x in range(MAX_LEVEL + 1)]),
         F.col("_level") + 1,
     )
-    left = leveled.withColumn(
-        "_bucket", F.explode(F.sequence(_bucket(begin, width), _bucket(stop, width)))
-    )
-    right = (
-        instants.where(F.col(at).isNotNull())
-        .withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels])))
-        .withColumn("_bucket", _bucket(F.col(at), width))
+    left = (
+        intervals.where(begin <= stop)
+        .withColumn("_level", _level(begin, stop, bucket_ms))
+        .withColumn("_bucket", F.explode(F.sequence(_bucket(begin, width), _bucket(stop, width))))
     )
+    right = instants.where(F.col(at).isNotNull())
+    if len(levels) == 1:
+        right = right.withColumn("_level", F.lit(levels[0]))
+    else:
+        right = right.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels or [0]])))
+    right = right.withColumn("_bucket", _bucket(F.col(at), width))
     keys = [*on, "_level", "_bucket"]
-    right, left, keys = salted_pair(right, left, keys, spread, limit)
-    helpers = [k for k in keys if k not in on]
+    if heavy.size:
+        right, left, keys = salted_pair(right, left, keys, spread, limit)
     return (
         left.join(right, keys)
-        .where((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
-        .drop(*helpers)
+        .where((F.col(at) >= begin) & (F.col(at) <= stop))
+        .drop(*[k for k in keys if k not in on])
+    )
+
+
+def _level(begin: Column, stop: Column, bucket_ms: int) -> Column:
+    # Any level gives the right result, so rounding in the logarithm does no harm.
+    span = (stop.cast("double") - begin.cast("double")) / (bucket_ms * (MAX_BUCKETS - 1))
+    return F.least(
+        F.ceil(F.log(16.0, F.greatest(span, F.lit(1.0)))).cast("int"), F.lit(MAX_LEVEL)
     )
 
 

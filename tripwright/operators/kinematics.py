@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripwright.functions.geo import haversine_km
 from tripwright.operators.sequence import over_tracks
-from tripwright.operators.skew import ROWS_PER_TASK
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys
 from tripwright.schemas import MIN_MOVE_MS, MIN_TRACK_POINTS, SPEED_WINDOW
 
 TRACK = ("trip_id",)
@@ -31,6 +31,7 @@ def with_moves(
     keys: Sequence[str] = TRACK,
     tie: Sequence[str] = TIE,
     limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Add the move that ends at each point.
 
@@ -44,7 +45,7 @@ def with_moves(
     def compute(rows: DataFrame, track: WindowSpec) -> DataFrame:
         return _with_speed_change(_with_speed(rows, track, window), track)
 
-    return over_tracks(points, keys, track_order(tie), window + 1, compute, limit)
+    return over_tracks(points, keys, track_order(tie), window + 1, compute, limit, heavy)
 
 
 def _with_speed(rows: DataFrame, track: WindowSpec, window: int) -> DataFrame:

@@ -55,9 +55,11 @@ def message_text(line: Column) -> Column:
 
 
 def route_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Text lines as keyed messages."""
+    """Text lines as keyed messages; a line without message keeps its text under ``none``."""
+    kind, line = message_kind(F.col(column)), F.col(column)
     return lines.select(
-        message_kind(F.col(column)).alias("key"), message_text(F.col(column)).alias("value")
+        kind.alias("key"),
+        F.when(kind == "none", line).otherwise(message_text(line)).alias("value"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripwright.operators.events import with_traffic_event
 from tripwright.operators.kinematics import TIE, TRACK, driven_distance, with_moves
-from tripwright.operators.skew import ROWS_PER_TASK
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys
 from tripwright.operators.stats import counter_sums
 from tripwright.schemas import SPEED_WINDOW
 
@@ -24,6 +24,7 @@ def track_facts(
     category: str | None = None,
     extra: Sequence[Column] = (),
     limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Everything the score needs from the samples of a track, in one shuffle.
 
@@ -31,7 +32,7 @@ def track_facts(
     Result: ``mtrip_cnt``, sample counters, ``distance`` and driving events ``n_start``.. of all
     devices, whose device gate the caller applies.
     """
-    moved = with_traffic_event(with_moves(samples, window, keys, tie, limit), category)
+    moved = with_traffic_event(with_moves(samples, window, keys, tie, limit, heavy), category)
     events = [
         F.sum(F.when(F.col("event") == e, F.lit(1)).otherwise(F.lit(0))).alias("n_" + e)
         for e in EVENT_COUNTS

@@ -13,7 +13,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tripwright.operators.skew import ROWS_PER_TASK, broadcast_if_small, checkpointed, heavy_keys
+from tripwright.operators.skew import (
+    ROWS_PER_TASK,
+    HeavyKeys,
+    broadcast_if_small,
+    checkpointed,
+    heavy_keys,
+)
 
 
 def over_tracks(
@@ -23,15 +29,20 @@ def over_tracks(
     reach: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Apply ``compute(frame, window)`` to each track.
 
     ``reach`` is the number of rows the computation looks back. It may look one row ahead.
     ``order`` must order the rows of a track without ties. ``compute`` must keep the columns
     of its input and must not drop rows.
+
+    ``heavy`` are the tracks to cut, if the caller knows them from a cheaper count than one over
+    ``rows``; more tracks than needed do no harm.
     """
     keys = list(keys)
-    heavy = heavy_keys(rows, keys, limit)
+    if heavy is None:
+        heavy = heavy_keys(rows, keys, limit)
     if heavy.size == 0:
         return compute(rows, Window.partitionBy(*keys).orderBy(*order))
 

@@ -18,8 +18,7 @@ ASSIST = (*LANE_CODES, *COLLISION_CODES)
 
 def counter_sums() -> list[Column]:
     """Aggregates: sum of every counter over samples with ``em``, ``ldw`` and ``fcw``."""
-    flags = sample_flags(F.col("em"), F.col("ldw"), F.col("fcw"))
-    return [F.sum(flag).alias(name) for name, flag in flags.items()]
+    return [F.expr(f"sum({flag}) AS {name}") for name, flag in sample_flags().items()]
 
 
 def sample_counters(samples: DataFrame, key: str = "trip_id") -> DataFrame:
@@ -34,8 +33,9 @@ def distinct_payloads(events: DataFrame, key: str = "trip_id") -> DataFrame:
 def event_counters(events: DataFrame, key: str = "trip_id") -> DataFrame:
     """Lane and collision counters over the different event payloads of a trip."""
     elements = event_elements(distinct_payloads(events, key))
-    flags = assist_flags(F.col("ldw"), F.col("fcw"))
-    return elements.groupBy(key).agg(*[F.sum(f).alias(n) for n, f in flags.items()])
+    return elements.groupBy(key).agg(
+        *[F.expr(f"sum({flag}) AS {name}") for name, flag in assist_flags().items()]
+    )
 
 
 def event_texts(events: DataFrame, key: str = "trip_id") -> DataFrame:
@@ -75,12 +75,13 @@ def event_stats(
 ) -> DataFrame:
     """Counters and merged texts of a trip's events in one pass over the payloads."""
     elements = event_elements(distinct_payloads(events, key))
-    flags = assist_flags(F.col("ldw"), F.col("fcw"))
     # First combine equal text tuples, so repeated faults do not reach the arrays.
-    combined = elements.groupBy(key, *TEXTS).agg(*[F.sum(f).alias(n) for n, f in flags.items()])
+    combined = elements.groupBy(key, *TEXTS).agg(
+        *[F.expr(f"sum({flag}) AS {name}") for name, flag in assist_flags().items()]
+    )
     merge = merge_unless_contained if by_substring else merge_distinct
     return combined.groupBy(key).agg(
-        *[F.sum(n).alias(n) for n in flags],
+        *[F.sum(n).alias(n) for n in ASSIST],
         *[merge(F.collect_set(F.when(F.col(t) != "", F.col(t)))).alias(t) for t in TEXTS],
     )
 
@@ -105,15 +106,14 @@ def stat_rows(
     else:
         joined = joined.withColumn("overlimit", F.lit(0))
 
-    def counter(name: str) -> Column:
-        own = F.coalesce(F.col(name), F.lit(0))
-        extra = F.coalesce(F.col("_e_" + name), F.lit(0)) if name in ASSIST else F.lit(0)
-        return (own + extra).cast("bigint")
+    def counter(name: str) -> str:
+        extra = f" + coalesce(_e_{name}, 0)" if name in ASSIST else ""
+        return f"cast(coalesce({name}, 0){extra} AS bigint)"
 
     return joined.withColumns(
         {
-            **{n: counter(n) for n in COUNTERS},
-            **{t: F.coalesce(F.col("_e_" + t), F.lit("")) for t in TEXTS},
+            **{n: F.expr(counter(n)) for n in COUNTERS},
+            **{t: F.expr(f"coalesce(_e_{t}, '')") for t in TEXTS},
             "date": uuid_date(F.col(trip_id), zone).cast("string"),
         }
     ).drop(*["_e_" + n for n in (*ASSIST, *TEXTS)])

@@ -6,8 +6,7 @@ view grows with the tables. Some messages are faulty on purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripwright.operators.messages import (
     flatten_events,
@@ -21,51 +20,49 @@ from tripwright.operators.points import sample_time
 from tripwright.schemas import EVENT_KEY, MICROTRIP_KEY, TRIP_KEY
 from tripwright.sources.tables import parquet_table
 
-BASE_MS = 1528163784000
-UUID_TAIL = "-6863-11e8-96b3-bf7af28e956c"
-
-
-def _whole(column: Column, divisor: int) -> Column:
-    return F.call_function("div", column, F.lit(divisor))
+# The views are written as SQL text, which reads like the oracle's and is planned in few calls.
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position samples: one per row of ``events``, time squeezed to about 2 s per step."""
-    events = parquet_table(spark, sf_dir, "events")
-    us = F.timestamp_diff(
-        "MICROSECOND", F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")), F.col("ts")
-    )
-    base = events.select(
-        "event_id", "event_type", "value", F.col("user_id").alias("vehicle_id"), us.alias("us")
-    )
-    base = base.withColumn("trip_no", F.col("vehicle_id") * 2 + _whole(F.col("us"), 1296000000000))
-    base = base.withColumn("mv", F.pmod(_whole(F.col("us"), 432000000000), F.lit(2)))
-    device = F.element_at(
-        F.array(*[F.lit(d) for d in ("OBD", "ADAS", "GPS", "BLACKBOX")]),
-        (F.pmod("vehicle_id", F.lit(4)) + 1).cast("int"),
-    )
-    clt = F.lit(BASE_MS) + _whole(F.col("us"), 20000000)
-    return base.select(
-        "event_id",
-        F.col("event_id").alias("sample_id"),
-        "event_type",
-        "value",
-        "vehicle_id",
-        "trip_no",
-        F.concat(F.lower(F.lpad(F.hex("trip_no"), 8, "0")), F.lit(UUID_TAIL)).alias("trip_id"),
-        F.concat(F.lit("u"), F.pmod("vehicle_id", F.lit(7))).alias("user_id"),
-        F.concat(F.lit("s"), F.col("trip_no")).alias("sensor_id"),
-        F.concat(F.lit("c"), F.pmod("vehicle_id", F.lit(5))).alias("company_id"),
-        clt.alias("clt"),
-        (clt + 500).alias("ts"),
-        "mv",
-        (F.lit(126.9) + F.col("mv") * F.col("value") * F.lit(0.000003)).alias("lon"),
-        (F.lit(37.5) + F.col("mv") * F.pmod("event_id", F.lit(97)) * F.lit(0.000003)).alias("lat"),
-        device.alias("device_type"),
-        F.pmod("event_id", F.lit(128)).cast("int").alias("em"),
-        (F.pmod("event_id", F.lit(4)) + 30).cast("int").alias("ldw"),
-        (F.pmod(_whole(F.col("event_id"), 4), F.lit(4)) + 30).cast("int").alias("fcw"),
-        F.pmod("event_id", F.lit(120)).cast("int").alias("sp"),
+    return (
+        parquet_table(spark, sf_dir, "events")
+        .selectExpr(
+            "event_id",
+            "event_type",
+            "value",
+            "user_id AS vehicle_id",
+            "timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts) AS us",
+        )
+        .selectExpr(
+            "*",
+            "vehicle_id * 2 + us div 1296000000000 AS trip_no",
+            "(us div 432000000000) % 2 AS mv",
+            "1528163784000 + us div 20000000 AS clt",
+        )
+        .selectExpr(
+            "event_id",
+            "event_id AS sample_id",
+            "event_type",
+            "value",
+            "vehicle_id",
+            "trip_no",
+            "concat(lower(lpad(hex(trip_no), 8, '0')), '-6863-11e8-96b3-bf7af28e956c') AS trip_id",
+            "concat('u', vehicle_id % 7) AS user_id",
+            "concat('s', trip_no) AS sensor_id",
+            "concat('c', vehicle_id % 5) AS company_id",
+            "clt",
+            "clt + 500 AS ts",
+            "mv",
+            "126.9D + mv * value * 0.000003D AS lon",
+            "37.5D + mv * (event_id % 97) * 0.000003D AS lat",
+            "CASE vehicle_id % 4 WHEN 0 THEN 'OBD' WHEN 1 THEN 'ADAS' WHEN 2 THEN 'GPS'"
+            " ELSE 'BLACKBOX' END AS device_type",
+            "cast(event_id % 128 AS int) AS em",
+            "cast(30 + event_id % 4 AS int) AS ldw",
+            "cast(30 + (event_id div 4) % 4 AS int) AS fcw",
+            "cast(event_id % 120 AS int) AS sp",
+        )
     )
 
 
@@ -75,15 +72,14 @@ def timed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips: half a month of a vehicle's points each."""
-    ids = ["trip_id", "trip_no", "vehicle_id", "user_id", "sensor_id", "company_id", "device_type"]
-    return (
-        points(spark, sf_dir)
-        .groupBy(*ids)
-        .agg(
-            F.min("clt").alias("start_ts"),
-            F.max("clt").alias("end_ts"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    return spark.sql(
+        """
+        SELECT trip_id, trip_no, vehicle_id, user_id, sensor_id, company_id, device_type,
+               min(clt) AS start_ts, max(clt) AS end_ts, count(*) AS n
+        FROM {points}
+        GROUP BY trip_id, trip_no, vehicle_id, user_id, sensor_id, company_id, device_type
+        """,
+        points=points(spark, sf_dir),
     )
 
 
@@ -91,8 +87,8 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some error rows as device events."""
     return (
         points(spark, sf_dir)
-        .where((F.col("event_type") == "error") & (F.pmod("event_id", F.lit(7)) == 0))
-        .select(
+        .where("event_type = 'error' AND event_id % 7 = 0")
+        .selectExpr(
             "event_id",
             "trip_id",
             "vehicle_id",
@@ -100,210 +96,161 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sensor_id",
             "company_id",
             "device_type",
-            F.col("clt").alias("event_ts"),
-            F.concat(F.lit("P"), F.pmod("event_id", F.lit(5)) + 2500).alias("dtcc"),
-            F.pmod("event_id", F.lit(20)).alias("wbv"),
-            F.pmod(_whole(F.col("event_id"), 7), F.lit(6)).alias("shape"),
-            ((F.pmod("event_id", F.lit(1000)) + 126000) / 1000.0).alias("elon"),
-            ((F.pmod("event_id", F.lit(1000)) + 37000) / 1000.0).alias("elat"),
+            "clt AS event_ts",
+            "concat('P', 2500 + event_id % 5) AS dtcc",
+            "event_id % 20 AS wbv",
+            "(event_id div 7) % 6 AS shape",
+            "(126000 + event_id % 1000) / 1000.0D AS elon",
+            "(37000 + event_id % 1000) / 1000.0D AS elat",
         )
     )
 
 
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One road box per supplier; the first thirty tile the area where vehicles move."""
-    k = F.col("s_suppkey") - 1
-    slot = F.pmod(k, F.lit(10))
-    row = F.pmod(_whole(k, 10), F.lit(3))
-    away = _whole(k, 30)
-    return parquet_table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("r"), F.col("s_suppkey")).alias("road_id"),
-        F.col("s_name").alias("name"),
-        (F.pmod("s_suppkey", F.lit(4)) + 1).alias("rank"),
-        (F.pmod("s_suppkey", F.lit(5)) * 10000 + 20000).alias("max_speed_mh"),
-        (F.lit(126.9) + slot * F.lit(0.00015) + away * F.lit(0.01)).alias("min_lon"),
-        (F.lit(126.9) + (slot + 1) * F.lit(0.00015) + away * F.lit(0.01)).alias("max_lon"),
-        (F.lit(37.5) + row * F.lit(0.0001)).alias("min_lat"),
-        (F.lit(37.5) + (row + 1) * F.lit(0.0001)).alias("max_lat"),
+    return (
+        parquet_table(spark, sf_dir, "supplier")
+        .selectExpr("s_suppkey", "s_name", "s_suppkey - 1 AS k")
+        .selectExpr("*", "k % 10 AS slot", "(k div 10) % 3 AS band", "k div 30 AS away")
+        .selectExpr(
+            "concat('r', s_suppkey) AS road_id",
+            "s_name AS name",
+            "s_suppkey % 4 + 1 AS rank",
+            "20000 + (s_suppkey % 5) * 10000 AS max_speed_mh",
+            "126.9D + slot * 0.00015D + away * 0.01D AS min_lon",
+            "126.9D + (slot + 1) * 0.00015D + away * 0.01D AS max_lon",
+            "37.5D + band * 0.0001D AS min_lat",
+            "37.5D + (band + 1) * 0.0001D AS max_lat",
+        )
     )
 
 
-def _vehicle_text() -> Column:
-    return F.concat(F.lit("v"), F.col("vehicle_id"))
+def _sent(rows: DataFrame, key: str, message: str) -> DataFrame:
+    # Emitted by a generator, as a filter on a parsed field would otherwise be pushed below the
+    # projections that write the JSON, and repeat all of them.
+    return rows.selectExpr(
+        f"explode(array(named_struct('key', '{key}', 'value', to_json({message})))) AS _m"
+    ).select("_m.key", "_m.value")
 
 
 def microtrip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One micro-trip message per point; ``event_id % 20`` selects the form of its payload."""
-    p = points(spark, sf_dir)
-    codes = ["em", "ldw", "fcw"]
-    full = F.struct("lon", "lat", "clt", "sp", *codes)
-    second = F.struct(
-        (F.col("lon") + F.lit(0.000003)).alias("lon"),
-        "lat",
-        (F.col("clt") + 1000).alias("clt"),
-        *codes,
-    )
-    fraction = F.struct("lon", "lat", "clt", (F.col("sp") + F.lit(0.5)).alias("sp"), *codes)
-    untimed = F.struct("lon", "lat", "sp", *codes)
-    no_lon = F.struct("lat", "clt", "sp", *codes)
-    at_zero = F.struct("lon", "lat", F.lit(0).alias("clt"), "sp", *codes)
-    form = F.pmod("event_id", F.lit(20))
-    payload = (
-        F.when(form == 0, F.to_json(full))
-        .when(form == 1, "")
-        .when(form == 2, "not json")
-        .when(form == 3, "[1,2]")
-        .when(form == 4, F.lit(None))
-        .when(form == 5, _json_array(full, second))
-        .when(form == 6, '{"tid":1,"try":2,"vlt":12.3}')
-        .when(form == 7, _json_array(fraction))
-        .when(form == 8, _json_array(untimed))
-        .when(form == 9, _json_array(no_lon))
-        .when(form == 10, _json_array(at_zero))
-        .otherwise(_json_array(full))
-    )
-    data = F.struct(
-        F.concat(F.lit("m"), F.col("event_id")).alias("microTripId"),
-        F.col("trip_id").alias("tripId"),
-        F.col("sensor_id").alias("sensorId"),
-        _vehicle_text().alias("vehicleId"),
-        F.concat(F.lit("2018-06-"), F.pmod("event_id", F.lit(20)) + 10).alias("date"),
-        "ts",
-        payload.alias("payload"),
-        F.col("device_type").alias("deviceType"),
-        (F.col("clt") + 1000).alias("createdTime"),
-        F.col("company_id").alias("companyId"),
-        F.lit("unknown").alias("extra"),
+    return _sent(
+        points(spark, sf_dir),
+        MICROTRIP_KEY,
+        """
+        named_struct(
+          'data', named_struct(
+            'microTripId', concat('m', event_id),
+            'tripId', trip_id,
+            'sensorId', sensor_id,
+            'vehicleId', concat('v', vehicle_id),
+            'date', concat('2018-06-', event_id % 20 + 10),
+            'ts', ts,
+            'payload', CASE event_id % 20
+              WHEN 0 THEN to_json(struct(lon, lat, clt, sp, em, ldw, fcw))
+              WHEN 1 THEN ''
+              WHEN 2 THEN 'not json'
+              WHEN 3 THEN '[1,2]'
+              WHEN 4 THEN NULL
+              WHEN 5 THEN concat(
+                '[', to_json(struct(lon, lat, clt, sp, em, ldw, fcw)), ',',
+                to_json(struct(lon + 0.000003D AS lon, lat, clt + 1000 AS clt, em, ldw, fcw)), ']')
+              WHEN 6 THEN '{"tid":1,"try":2,"vlt":12.3}'
+              WHEN 7 THEN concat(
+                '[', to_json(struct(lon, lat, clt, sp + 0.5D AS sp, em, ldw, fcw)), ']')
+              WHEN 8 THEN concat('[', to_json(struct(lon, lat, sp, em, ldw, fcw)), ']')
+              WHEN 9 THEN concat('[', to_json(struct(lat, clt, sp, em, ldw, fcw)), ']')
+              WHEN 10 THEN concat('[', to_json(struct(lon, lat, 0 AS clt, sp, em, ldw, fcw)), ']')
+              ELSE concat('[', to_json(struct(lon, lat, clt, sp, em, ldw, fcw)), ']')
+              END,
+            'deviceType', device_type,
+            'createdTime', clt + 1000,
+            'companyId', company_id,
+            'extra', 'unknown'),
+          'msgType', 'microtrip')
+        """,
     )
-    return _keyed(p, MICROTRIP_KEY, F.struct(data.alias("data"), F.lit("microtrip").alias("msgType")))
-
-
-def _json_array(*items: Column) -> Column:
-    return F.concat(
-        F.lit("["), F.concat_ws(",", *[F.to_json(item) for item in items]), F.lit("]")
-    )
-
-
-def _keyed(rows: DataFrame, key: str, message: Column) -> DataFrame:
-    return rows.select(F.lit(key).alias("key"), F.to_json(message).alias("value"))
 
 
 def trip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per trip; ``trip_no % 5`` selects the form of its payload."""
-    t = trips(spark, sf_dir)
-    head = [F.pmod("trip_no", F.lit(1000)).alias("tid"), (F.col("n") * 10).alias("dis")]
-    start = [F.lit(37.5).alias("stlat"), F.lit(126.9).alias("stlon")]
-    form = F.pmod("trip_no", F.lit(5))
-    payload = (
-        F.when(
-            form == 0,
-            F.to_json(
-                F.struct(*head, *start, F.lit(37.25).alias("edlat"), F.lit(126.75).alias("edlon"))
-            ),
-        )
-        .when(
-            form == 1,
-            F.to_json(
-                F.struct(*head, *start, F.lit(37.125).alias("endlat"), F.lit(126.5).alias("endlon"))
-            ),
-        )
-        .when(form == 2, "")
-        .when(form == 3, F.lit(None))
-        .otherwise(F.to_json(F.struct(*head)))
+    return _sent(
+        trips(spark, sf_dir),
+        TRIP_KEY,
+        """
+        named_struct(
+          'data', named_struct(
+            'tripId', trip_id,
+            'vehicleId', concat('v', vehicle_id),
+            'userId', user_id,
+            'sensorId', sensor_id,
+            'companyId', company_id,
+            'startTs', start_ts,
+            'startDt', concat('dt', start_ts),
+            'endTs', end_ts,
+            'endDt', concat('dt', end_ts),
+            'deviceType', device_type,
+            'createdTime', start_ts + 3376,
+            'payload', CASE trip_no % 5
+              WHEN 0 THEN to_json(named_struct('tid', trip_no % 1000, 'dis', n * 10,
+                'stlat', 37.5D, 'stlon', 126.9D, 'edlat', 37.25D, 'edlon', 126.75D))
+              WHEN 1 THEN to_json(named_struct('tid', trip_no % 1000, 'dis', n * 10,
+                'stlat', 37.5D, 'stlon', 126.9D, 'endlat', 37.125D, 'endlon', 126.5D))
+              WHEN 2 THEN ''
+              WHEN 3 THEN NULL
+              ELSE to_json(named_struct('tid', trip_no % 1000, 'dis', n * 10)) END,
+            'updated', n),
+          'latestTrip', CASE
+            WHEN device_type = 'OBD' THEN array(
+              named_struct('deviceType', 'BLACKBOX', 'id', sensor_id),
+              named_struct('deviceType', 'OBD', 'id', sensor_id))
+            WHEN device_type = 'ADAS' THEN array(
+              named_struct('deviceType', 'ADAS', 'id', cast(NULL AS string)))
+            WHEN device_type = 'GPS' AND trip_no % 2 = 1 THEN array(
+              named_struct('deviceType', 'GPS', 'id', sensor_id),
+              named_struct('deviceType', 'ADAS', 'id', sensor_id))
+            WHEN device_type = 'GPS' THEN array(
+              named_struct('deviceType', 'BLACKBOX', 'id', cast(NULL AS string)),
+              named_struct('deviceType', 'GPS', 'id', sensor_id))
+            WHEN trip_no % 2 = 1 THEN array(
+              named_struct('deviceType', 'OTHER', 'id', sensor_id))
+            ELSE array(named_struct('deviceType', 'BLACKBOX', 'id', 'null')) END,
+          'msgType', 'trip')
+        """,
     )
 
-    def device(kind: str, id_text: Column) -> Column:
-        return F.struct(F.lit(kind).alias("deviceType"), id_text.alias("id"))
-
-    sensor, none = F.col("sensor_id"), F.lit(None).cast("string")
-    odd = F.pmod("trip_no", F.lit(2)) == 1
-    latest = (
-        F.when(
-            F.col("device_type") == "OBD", F.array(device("BLACKBOX", sensor), device("OBD", sensor))
-        )
-        .when(F.col("device_type") == "ADAS", F.array(device("ADAS", none)))
-        .when(
-            F.col("device_type") == "GPS",
-            F.when(odd, F.array(device("GPS", sensor), device("ADAS", sensor))).otherwise(
-                F.array(device("BLACKBOX", none), device("GPS", sensor))
-            ),
-        )
-        .otherwise(
-            F.when(odd, F.array(device("OTHER", sensor))).otherwise(
-                F.array(device("BLACKBOX", F.lit("null")))
-            )
-        )
-    )
-    data = F.struct(
-        F.col("trip_id").alias("tripId"),
-        _vehicle_text().alias("vehicleId"),
-        F.col("user_id").alias("userId"),
-        F.col("sensor_id").alias("sensorId"),
-        F.col("company_id").alias("companyId"),
-        F.col("start_ts").alias("startTs"),
-        F.concat(F.lit("dt"), F.col("start_ts")).alias("startDt"),
-        F.col("end_ts").alias("endTs"),
-        F.concat(F.lit("dt"), F.col("end_ts")).alias("endDt"),
-        F.col("device_type").alias("deviceType"),
-        (F.col("start_ts") + 3376).alias("createdTime"),
-        payload.alias("payload"),
-        F.col("n").alias("updated"),
-    )
-    message = F.struct(
-        data.alias("data"), latest.alias("latestTrip"), F.lit("trip").alias("msgType")
-    )
-    return _keyed(t, TRIP_KEY, message)
-
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per device event; ``shape`` selects the form of its payload."""
-    e = device_events(spark, sf_dir)
-    shape = F.col("shape")
-    payload = (
-        F.when(shape == 0, F.to_json(F.struct("dtcc", "wbv", F.lit(31).alias("ldw"))))
-        .when(
-            shape == 1,
-            _json_array(
-                F.struct("dtcc", F.lit(31).alias("fcw")),
-                F.struct(F.lit("P2600").alias("dtcc"), F.lit(3).alias("wid")),
-            ),
-        )
-        .when(
-            shape == 2,
-            F.concat(
-                F.lit("[1,"),
-                F.to_json(F.struct(F.col("elon").alias("dclon"), F.col("elat").alias("dclat"))),
-                F.lit(',"s"]'),
-            ),
-        )
-        .when(shape == 3, "bad text")
-        .when(shape == 4, "")
-        .otherwise(
-            F.to_json(
-                F.struct(
-                    F.lit(7).alias("dtcc"),
-                    F.col("elon").alias("plon"),
-                    F.col("elat").alias("plat"),
-                    F.lit(32).alias("fcw"),
-                )
-            )
-        )
-    )
-    data = F.struct(
-        F.col("device_type").alias("deviceType"),
-        F.concat(F.lit("e"), F.col("event_id")).alias("eventId"),
-        F.col("company_id").alias("companyId"),
-        F.lit(108).alias("ty"),
-        payload.alias("payload"),
-        (F.col("event_ts") + 1000).alias("createdTime"),
-        F.col("trip_id").alias("tripId"),
-        _vehicle_text().alias("vehicleId"),
-        F.concat(F.lit("dt"), F.col("event_ts")).alias("eventDt"),
-        F.col("event_ts").alias("eventTs"),
-        F.col("user_id").alias("userId"),
-        F.col("sensor_id").alias("sensorId"),
+    return _sent(
+        device_events(spark, sf_dir),
+        EVENT_KEY,
+        """
+        named_struct(
+          'data', named_struct(
+            'deviceType', device_type,
+            'eventId', concat('e', event_id),
+            'companyId', company_id,
+            'ty', 108,
+            'payload', CASE shape
+              WHEN 0 THEN to_json(named_struct('dtcc', dtcc, 'wbv', wbv, 'ldw', 31))
+              WHEN 1 THEN concat('[', to_json(named_struct('dtcc', dtcc, 'fcw', 31)), ',',
+                to_json(named_struct('dtcc', 'P2600', 'wid', 3)), ']')
+              WHEN 2 THEN concat('[1,', to_json(named_struct('dclon', elon, 'dclat', elat)), ',"s"]')
+              WHEN 3 THEN 'bad text'
+              WHEN 4 THEN ''
+              ELSE to_json(named_struct('dtcc', 7, 'plon', elon, 'plat', elat, 'fcw', 32)) END,
+            'createdTime', event_ts + 1000,
+            'tripId', trip_id,
+            'vehicleId', concat('v', vehicle_id),
+            'eventDt', concat('dt', event_ts),
+            'eventTs', event_ts,
+            'userId', user_id,
+            'sensorId', sensor_id),
+          'msgType', 'event')
+        """,
     )
-    return _keyed(e, EVENT_KEY, F.struct(data.alias("data"), F.lit("event").alias("msgType")))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

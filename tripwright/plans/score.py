@@ -17,17 +17,19 @@ from tripwright.operators.events import (
     over_limit_counts,
     with_traffic_event,
 )
-from tripwright.operators.joins import range_join
+from tripwright.operators.joins import grid_levels, range_join
 from tripwright.operators.kinematics import with_moves
 from tripwright.operators.payloads import explode_samples, parse_samples, parse_trip_payload
 from tripwright.operators.points import sample_time
 from tripwright.operators.rollups import EVENT_COUNTS, track_facts
-from tripwright.operators.skew import ROWS_PER_TASK
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, heavy_keys
 from tripwright.operators.stats import distinct_payloads, event_stats, stat_rows
 from tripwright.operators.tables import latest_per_key
 from tripwright.schemas import COUNTERS, SPEED_WINDOW, TEXTS
 
 SAMPLE_TIE = ("micro_trip_id", "pos")
+# Samples a device usually sends in one micro-trip message.
+SAMPLES_PER_MESSAGE = 30
 TRIP_IDS = ("vehicle_id", "user_id", "company_id", "sensor_id", "device_type")
 RESULT = (
     "trip_id",
@@ -82,9 +84,9 @@ def trip_score(
     Samples shuffle once, by trip, and leave that stage as one row per trip; everything after
     joins one row to one row. Trips without samples have no result.
     """
-    facts = track_facts(
-        stored_samples(microtrips), ("trip_id",), SAMPLE_TIE, window, limit=limit
-    )
+    heavy = heavy_tracks(microtrips, "trip_id", limit)
+    samples = stored_samples(microtrips)
+    facts = track_facts(samples, ("trip_id",), SAMPLE_TIE, window, limit=limit, heavy=heavy)
     texts = event_stats(events)
     own = with_trip_distance(latest_trips(trips)).select("trip_id", *TRIP_IDS, "trip_dist")
     joined = own.join(facts, "trip_id")
@@ -92,20 +94,45 @@ def trip_score(
     return _gated(stats).select(*RESULT)
 
 
+def heavy_tracks(
+    microtrips: DataFrame, key: str, limit: int = ROWS_PER_TASK
+) -> HeavyKeys:
+    """Trips or vehicles with very many samples, by their number of micro-trips.
+
+    Counting the stored messages reads the key column only; counting samples would parse every
+    payload.
+    """
+    return heavy_keys(microtrips, [key], max(limit // SAMPLES_PER_MESSAGE, 1))
+
+
 def matched_samples(
-    trips: DataFrame, microtrips: DataFrame, limit: int = ROWS_PER_TASK
+    trips: DataFrame,
+    microtrips: DataFrame,
+    limit: int = ROWS_PER_TASK,
+    levels: Sequence[int] | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Samples of a vehicle inside the time range of its trips, with the trip's id.
 
     Payloads are parsed before the join, so no JSON text is shuffled, and exploded after it, so
     the join sees one row per micro-trip. A sample inside two trips appears once for each.
     """
+    if heavy is None:
+        heavy = heavy_tracks(microtrips, "vehicle_id", limit)
     parsed = microtrips.select(
         "vehicle_id", "micro_trip_id", "ts", parse_samples(F.col("payload")).alias("_samples")
-    ).where(F.col("_samples").isNotNull())
-    spans = trips.select("vehicle_id", "trip_id", "start_ts", "end_ts")
+    )
     matched = range_join(
-        spans, parsed, ["vehicle_id"], "start_ts", "end_ts", "ts", ["micro_trip_id"], limit
+        trips.select("vehicle_id", "trip_id", "start_ts", "end_ts"),
+        parsed,
+        ["vehicle_id"],
+        "start_ts",
+        "end_ts",
+        "ts",
+        ["micro_trip_id"],
+        max(limit // SAMPLES_PER_MESSAGE, 1),
+        levels=levels,
+        heavy=heavy,
     )
     kept = ["vehicle_id", "trip_id", "start_ts", "micro_trip_id", "ts"]
     return (
@@ -117,18 +144,31 @@ def matched_samples(
 
 
 def matched_events(
-    trips: DataFrame, events: DataFrame, limit: int = ROWS_PER_TASK
+    trips: DataFrame,
+    events: DataFrame,
+    limit: int = ROWS_PER_TASK,
+    levels: Sequence[int] | None = None,
 ) -> DataFrame:
     """Events of a vehicle inside the time range of its trips.
 
     The stored event time is text; it is compared as a number.
     """
     timed = events.select(
-        "vehicle_id", "event_id", "payload", F.col("event_ts").try_cast("bigint").alias("_at")
+        "vehicle_id",
+        "event_id",
+        "payload",
+        F.col("event_ts").try_cast("bigint").alias("_at"),
     )
-    spans = trips.select("vehicle_id", "trip_id", "start_ts", "end_ts")
     return range_join(
-        spans, timed, ["vehicle_id"], "start_ts", "end_ts", "_at", ["event_id"], limit
+        trips.select("vehicle_id", "trip_id", "start_ts", "end_ts"),
+        timed,
+        ["vehicle_id"],
+        "start_ts",
+        "end_ts",
+        "_at",
+        ["event_id"],
+        limit,
+        levels=levels,
     ).select("vehicle_id", "trip_id", "event_id", "payload", F.col("_at").alias("event_ts"))
 
 
@@ -147,22 +187,21 @@ def multi_trip_score(
     by vehicle and time range. A vehicle's ids are those of its earliest trip with samples.
     """
     own = with_trip_distance(base_device_trips(latest_trips(trips)))
-    first = F.min(F.struct("start_ts", "trip_id")).alias("_first")
-    facts = track_facts(
-        matched_samples(own, microtrips, limit),
-        (by,),
-        ("trip_id", *SAMPLE_TIE) if by != "trip_id" else SAMPLE_TIE,
-        window,
-        extra=[first],
-        limit=limit,
-    )
-    texts = event_stats(matched_events(own, events, limit), by)
+    levels = grid_levels(own, "start_ts", "end_ts")
+    heavy = heavy_tracks(microtrips, "vehicle_id", limit)
+    samples = matched_samples(own, microtrips, limit, levels, heavy)
     if by == "trip_id":
-        joined = facts.drop("_first").join(own.select("trip_id", *TRIP_IDS, "trip_dist"), "trip_id")
+        # A trip has no more samples than its vehicle.
+        tie, cut = SAMPLE_TIE, None if heavy.size else heavy
     else:
-        ids = [c for c in TRIP_IDS if c != by]
-        joined = facts.withColumn("trip_id", F.col("_first.trip_id")).drop("_first")
-        joined = joined.join(own.select("trip_id", *ids, "trip_dist"), "trip_id")
+        tie, cut = ("trip_id", *SAMPLE_TIE), heavy
+    first = F.min(F.struct("start_ts", "trip_id")).alias("_first")
+    facts = track_facts(samples, (by,), tie, window, extra=[first], limit=limit, heavy=cut)
+    texts = event_stats(matched_events(own, events, limit, levels), by)
+    if by != "trip_id":
+        facts = facts.withColumn("trip_id", F.col("_first.trip_id"))
+    ids = [c for c in TRIP_IDS if c != by]
+    joined = facts.drop("_first").join(own.select("trip_id", *ids, "trip_dist"), "trip_id")
     stats = stat_rows(joined, texts, by, zone=zone).withColumn("device_dist", F.col("distance"))
     return _gated(stats).select(*RESULT)
 
@@ -175,6 +214,7 @@ def score_events(
     tie: Sequence[str] = SAMPLE_TIE,
     window: int = SPEED_WINDOW,
     limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Event rows of scored trips, driving events and, with roads, exceeded limits.
 
@@ -184,7 +224,7 @@ def score_events(
     """
     ids = latest_trips(trips).select("trip_id", "vehicle_id", "user_id", "device_type")
     named = samples.drop(*[c for c in ("vehicle_id", "user_id", "device_type") if c not in keys])
-    moved = with_moves(named, window, keys, tie, limit).where("is_move")
+    moved = with_moves(named, window, keys, tie, limit, heavy).where("is_move")
     if "vehicle_id" in keys:
         ids = ids.drop("vehicle_id")
     sample = F.concat_ws("#", F.col("micro_trip_id"), F.col("pos"))
