@@ -23,11 +23,18 @@ from tripwright.sources.tables import parquet_table
 # The views are written as SQL text, which reads like the oracle's and is planned in few calls.
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Position samples: one per row of ``events``, time squeezed to about 2 s per step."""
+def points(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Position samples: one per row of ``events``, time squeezed to about 2 s per step.
+
+    ``spread`` deals the rows to all cores if the file has fewer splits than that, which pays
+    for work as heavy as writing and parsing JSON.
+    """
+    events = parquet_table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores, "event_id")
     return (
-        parquet_table(spark, sf_dir, "events")
-        .selectExpr(
+        events.selectExpr(
             "event_id",
             "event_type",
             "value",
@@ -136,7 +143,7 @@ def _sent(rows: DataFrame, key: str, message: str) -> DataFrame:
 def microtrip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One micro-trip message per point; ``event_id % 20`` selects the form of its payload."""
     return _sent(
-        points(spark, sf_dir),
+        points(spark, sf_dir, spread=True),
         MICROTRIP_KEY,
         """
         named_struct(

@@ -145,7 +145,9 @@ steps AS (
 spans AS (
   SELECT *, trunc(sum(step_m) OVER (win ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW))::BIGINT
            AS distance_m,
-         coalesce(lag(time, {w}) OVER win, first_value(time) OVER win) AS head_time
+         coalesce(lag(time, {w}) OVER win, first_value(time) OVER win) AS head_time,
+         coalesce(lag(lon, {w}) OVER win, first_value(lon) OVER win) AS head_lon,
+         coalesce(lag(lat, {w}) OVER win, first_value(lat) OVER win) AS head_lat
   FROM steps WINDOW win AS ({order})),
 speeds AS (
   SELECT *, time - head_time AS elapsed_ms,

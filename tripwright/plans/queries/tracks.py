@@ -64,7 +64,10 @@ def pair_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MOVE_COLUMNS = "trip_id, sample_id, head_time, time, elapsed_ms, distance_m, speed_mh"
+MOVE_COLUMNS = (
+    "trip_id, sample_id, head_time, head_lon, head_lat, time, lon, lat, elapsed_ms, distance_m, "
+    "speed_mh"
+)
 
 
 def _moves(spark: SparkSession, sf_dir: str, window: int) -> DataFrame:

@@ -43,6 +43,16 @@ RESULT = (
     *["n_" + e for e in EVENT_COUNTS],
 )
 
+RESULT_SCHEMA = ", ".join(
+    f"{name} {'string' if name in ('trip_id', 'date', *TRIP_IDS, *TEXTS) else 'bigint'}"
+    for name in RESULT
+)
+EVENT_SCHEMA = (
+    "vehicle_id string, user_id string, trip_id string, pos_lon double, pos_lat double, "
+    "event_ts bigint, event_type int, speed_mh bigint, info string, device_type string, "
+    "created_time bigint, id string, source string"
+)
+
 
 def latest_trips(trips: DataFrame) -> DataFrame:
     """One row per trip: a trip that was sent again counts once, in its last version."""
@@ -58,7 +68,8 @@ def stored_samples(microtrips: DataFrame) -> DataFrame:
 
 def with_trip_distance(trips: DataFrame) -> DataFrame:
     """Trips with the distance the device reported."""
-    return trips.withColumn("trip_dist", parse_trip_payload(F.col("trip_payload_str")).dis)
+    distance = parse_trip_payload(F.col("trip_payload_str")).dis
+    return trips.withColumn("trip_dist", distance.cast("bigint"))
 
 
 def _gated(result: DataFrame) -> DataFrame:
@@ -79,18 +90,33 @@ def trip_score(
     zone: str = "UTC",
     limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Result per trip of a one-device vehicle: samples and events are found by trip id.
+    """Result per trip of a one-device vehicle: samples and events are found by trip id."""
+    heavy = heavy_tracks(microtrips, "trip_id", limit)
+    samples = stored_samples(microtrips)
+    return trip_result(latest_trips(trips), samples, events, window, zone, limit, heavy)
+
+
+def trip_result(
+    trips: DataFrame,
+    samples: DataFrame,
+    events: DataFrame,
+    window: int = SPEED_WINDOW,
+    zone: str = "UTC",
+    limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
+) -> DataFrame:
+    """Result per trip from unique trips, their samples and their events.
 
     Samples shuffle once, by trip, and leave that stage as one row per trip; everything after
     joins one row to one row. Trips without samples have no result.
     """
-    heavy = heavy_tracks(microtrips, "trip_id", limit)
-    samples = stored_samples(microtrips)
     facts = track_facts(samples, ("trip_id",), SAMPLE_TIE, window, limit=limit, heavy=heavy)
-    texts = event_stats(events)
-    own = with_trip_distance(latest_trips(trips)).select("trip_id", *TRIP_IDS, "trip_dist")
-    joined = own.join(facts, "trip_id")
-    stats = stat_rows(joined, texts, zone=zone).withColumn("device_dist", F.col("distance"))
+    own = with_trip_distance(trips).select("trip_id", *TRIP_IDS, "trip_dist")
+    return _result(own.join(facts, "trip_id"), event_stats(events), "trip_id", zone)
+
+
+def _result(joined: DataFrame, texts: DataFrame, key: str, zone: str) -> DataFrame:
+    stats = stat_rows(joined, texts, key, zone=zone).withColumn("device_dist", F.col("distance"))
     return _gated(stats).select(*RESULT)
 
 
@@ -186,24 +212,49 @@ def multi_trip_score(
     Only trips of the representative device count; samples and events of all devices are found
     by vehicle and time range. A vehicle's ids are those of its earliest trip with samples.
     """
-    own = with_trip_distance(base_device_trips(latest_trips(trips)))
+    own = base_device_trips(latest_trips(trips))
     levels = grid_levels(own, "start_ts", "end_ts")
     heavy = heavy_tracks(microtrips, "vehicle_id", limit)
     samples = matched_samples(own, microtrips, limit, levels, heavy)
-    if by == "trip_id":
-        # A trip has no more samples than its vehicle.
-        tie, cut = SAMPLE_TIE, None if heavy.size else heavy
-    else:
-        tie, cut = ("trip_id", *SAMPLE_TIE), heavy
+    found = matched_events(own, events, limit, levels)
+    return multi_trip_result(own, samples, found, by, window, zone, limit, heavy)
+
+
+def multi_trip_result(
+    trips: DataFrame,
+    samples: DataFrame,
+    events: DataFrame,
+    by: str = "vehicle_id",
+    window: int = SPEED_WINDOW,
+    zone: str = "UTC",
+    limit: int = ROWS_PER_TASK,
+    heavy_vehicles: HeavyKeys | None = None,
+) -> DataFrame:
+    """Result per vehicle or trip from unique trips and what matched them by time range."""
+    heavy = tracks_to_cut(by, heavy_vehicles)
     first = F.min(F.struct("start_ts", "trip_id")).alias("_first")
-    facts = track_facts(samples, (by,), tie, window, extra=[first], limit=limit, heavy=cut)
-    texts = event_stats(matched_events(own, events, limit, levels), by)
+    facts = track_facts(samples, (by,), multi_tie(by), window, extra=[first], limit=limit, heavy=heavy)
     if by != "trip_id":
         facts = facts.withColumn("trip_id", F.col("_first.trip_id"))
     ids = [c for c in TRIP_IDS if c != by]
-    joined = facts.drop("_first").join(own.select("trip_id", *ids, "trip_dist"), "trip_id")
-    stats = stat_rows(joined, texts, by, zone=zone).withColumn("device_dist", F.col("distance"))
-    return _gated(stats).select(*RESULT)
+    own = with_trip_distance(trips).select("trip_id", *ids, "trip_dist")
+    joined = facts.drop("_first").join(own, "trip_id")
+    return _result(joined, event_stats(events, by), by, zone)
+
+
+def multi_tie(by: str) -> tuple[str, ...]:
+    """Columns that tell apart the samples of a track of equal time."""
+    return SAMPLE_TIE if by == "trip_id" else ("trip_id", *SAMPLE_TIE)
+
+
+def tracks_to_cut(by: str, heavy_vehicles: HeavyKeys | None) -> HeavyKeys | None:
+    """Heavy tracks, as far as the heavy vehicles tell.
+
+    A trip has no more samples than its vehicle: no heavy vehicle, no heavy trip.
+    """
+    if by == "trip_id" and heavy_vehicles is not None and heavy_vehicles.size:
+        return None
+    return heavy_vehicles
 
 
 def score_events(

@@ -1,22 +1,65 @@
-"""Batch sources: stored tables by catalog name, and plain parquet tables."""
+"""Stored tables in parquet: layout, versions, scans.
+
+A table is a folder ``<root>/<name>/part_day=<day>/batch_id=<n>``. Every write adds the versions
+of one batch; the current row of a key is its version from the latest batch. Writing a batch
+again replaces just its own folders, so a repeated batch changes nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwright.functions.ids import millis_date, uuid_date
 from tripwright.operators.tables import latest_per_key
 from tripwright.schemas import TABLES
 
 BATCH = "batch_id"
+DAY = "part_day"
+NO_DAY = "none"
 
 
-def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+@dataclass(frozen=True)
+class Layout:
+    """Row key, columns and the day a row is filed under."""
+
+    keys: tuple[str, ...]
+    schema: str
+    day: Column
+
+
+def day_of_trip(trip: str = "trip_id") -> Column:
+    """Day inside a trip's time UUID: known from the id alone, on both sides of a join."""
+    return F.coalesce(uuid_date(F.col(trip)).cast("string"), F.lit(NO_DAY))
+
 
+def day_of_time(millis: str) -> Column:
+    day = millis_date(F.col(millis).try_cast("bigint"))
+    return F.coalesce(day.cast("string"), F.lit(NO_DAY))
 
-def table_schema(name: str) -> str:
-    return TABLES[name][1]
+
+def layouts() -> dict[str, Layout]:
+    """The stored tables; those ``_by_vehicle`` hold the same rows, filed by their time."""
+
+    def keyed(name: str, day: Column) -> Layout:
+        key, schema = TABLES[name]
+        return Layout((key,), schema, day)
+
+    return {
+        "sf_microtrip": keyed("sf_microtrip", day_of_trip()),
+        "sf_trip": keyed("sf_trip", day_of_trip()),
+        "sf_event": keyed("sf_event", day_of_trip()),
+        "microtrip_by_vehicle": keyed("sf_microtrip", day_of_time("ts")),
+        "event_by_vehicle": keyed("sf_event", day_of_time("event_ts")),
+    }
+
+
+def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def conform(frame: DataFrame, name: str) -> DataFrame:
@@ -30,18 +73,83 @@ def conform(frame: DataFrame, name: str) -> DataFrame:
     )
 
 
-def scan_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All written versions of a catalog table, with the batch that wrote each."""
-    schema = f"{table_schema(name)}, {BATCH} bigint"
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+def write_versions(frame: DataFrame, root: str, name: str, batch_id: int, day: Column) -> None:
+    """Write one batch of a table.
+
+    Rows are dealt to files by day, but a day with many rows gets several files and small days
+    share a task (``rebalance``), and each file is sorted, so scans can skip row groups.
+    """
+    filed = frame.withColumn(DAY, day).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    sort = [c for c in ("vehicle_id", "trip_id", "device_type", "ts") if c in frame.columns]
+    (
+        filed.hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, BATCH, *sort)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, BATCH)
+        .parquet(f"{root}/{name}")
+    )
+
+
+def scan_versions(
+    spark: SparkSession, root: str, name: str, schema: str, where: Column | None = None
+) -> DataFrame:
+    """All versions of a table, or those of the days that ``where`` selects.
+
+    A table that was never written is empty.
+    """
+    full = f"{schema}, {DAY} string, {BATCH} bigint"
+    try:
+        rows = spark.read.schema(full).parquet(f"{root}/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], full)
+    return rows if where is None else rows.where(where)
+
+
+def scan_latest(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    keys: Sequence[str],
+    schema: str,
+    where: Column | None = None,
+) -> DataFrame:
+    versions = scan_versions(spark, root, name, schema, where).drop(DAY)
+    return latest_per_key(versions, keys, [BATCH])
 
 
 def load_table(
-    spark: SparkSession, root: str, name: str, as_view: bool = False
+    spark: SparkSession,
+    root: str,
+    name: str,
+    where: Column | None = None,
+    as_view: bool = False,
 ) -> DataFrame:
-    """Current rows of a catalog table: per key the version of the latest batch."""
-    key = TABLES[name][0]
-    rows = latest_per_key(scan_versions(spark, root, name), [key], [BATCH]).drop(BATCH)
+    """Current rows of a stored table.
+
+    ``where`` may select days, which are folders and so never read otherwise. It relies on a
+    message that comes again keeping its trip and time; without it every day is read.
+    """
+    layout = layouts()[name]
+    rows = scan_latest(spark, root, name, layout.keys, layout.schema, where).drop(BATCH)
     if as_view:
         rows.createOrReplaceTempView(name)
     return rows
+
+
+def compact(spark: SparkSession, root: str, name: str, target_root: str) -> None:
+    """Rewrite a table with its current rows only, under another root.
+
+    Rows keep the batch they came from, so later batches go on in the new place.
+    """
+    layout = layouts()[name]
+    rows = scan_latest(spark, root, name, layout.keys, layout.schema)
+    (
+        rows.withColumn(DAY, layout.day)
+        .repartitionByRange(F.col(DAY), F.col(layout.keys[0]))
+        .write.mode("overwrite")
+        .partitionBy(DAY, BATCH)
+        .parquet(f"{target_root}/{name}")
+    )
