@@ -133,4 +133,5 @@ def test_collected_pieces_are_bounded_and_whole(spark):
     rows = [("t", i, 60_000 + i % 7, 127.0, 37.5) for i in range(500)]
     pieces = collect_points(spark.createDataFrame(rows, SCHEMA), ["lon"], chunk_rows=50).collect()
     assert len(pieces) > 5 and max(p.n for p in pieces) < 150
+    assert len({p.piece for p in pieces}) == len(pieces)
     assert sorted(x.sample_id for p in pieces for x in p.points) == list(range(500))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, heavy_keys, salted_pair
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, heavy_keys, salted_join, salted_pair
 
 HOUR_MS = 3_600_000
 # Buckets that one interval may touch before it moves to a 16 times coarser time grid.
@@ -16,22 +16,26 @@ MAX_BUCKETS = 32
 MAX_LEVEL = 10
 
 
-def join_samples(trips: DataFrame, samples: DataFrame) -> DataFrame:
+def join_samples(
+    trips: DataFrame, samples: DataFrame, spread: Sequence[str], limit: int = ROWS_PER_TASK
+) -> DataFrame:
     """Trips with their samples by trip id; trips without samples are left out.
 
-    One trip's samples may be most of the data. Nothing after this join reuses its partitioning
-    by trip, so Spark may split such a partition (``spark.sql.adaptive.skewJoin``).
+    The samples of a heavy trip are dealt to several tasks by the ``spread`` columns.
     """
-    return trips.join(samples, "trip_id")
+    return salted_join(samples, trips, ["trip_id"], spread, limit)
 
 
-def left_join_events(trips: DataFrame, events: DataFrame) -> DataFrame:
+def left_join_events(
+    trips: DataFrame, events: DataFrame, spread: Sequence[str], limit: int = ROWS_PER_TASK
+) -> DataFrame:
     """All trips with their events by trip id.
 
-    Written as an inner join and the trips without events: Spark can split a heavy trip on the
+    Written as an inner join and the trips without events: a heavy trip can be split on the
     event side of an inner join, but not on that side of a left join.
     """
-    return with_unmatched(trips, trips.join(events, "trip_id"), events, "trip_id")
+    matched = salted_join(events, trips, ["trip_id"], spread, limit)
+    return with_unmatched(trips, matched, events, "trip_id")
 
 
 def with_unmatched(

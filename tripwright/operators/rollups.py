@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripwright.operators.events import with_traffic_event
 from tripwright.operators.kinematics import TIE, TRACK, driven_distance, with_moves
-from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, in_pieces
 from tripwright.operators.stats import counter_sums
 from tripwright.schemas import SPEED_WINDOW
 
@@ -95,14 +95,7 @@ def collect_points(
     """
     slices = [*keys, "slice"]
     cut = points.withColumn("slice", F.call_function("div", F.col("time"), F.lit(chunk_ms)))
-    sizes = cut.groupBy(*slices).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk_rows)
-    if not sizes.isEmpty():
-        pieces = sizes.withColumn("_pieces", F.ceil(F.col("_n") / chunk_rows)).drop("_n")
-        cut = cut.join(pieces, slices, "left").withColumn(
-            "piece", F.coalesce(F.pmod(F.xxhash64(*tie), F.col("_pieces")), F.lit(0))
-        )
-    else:
-        cut = cut.withColumn("piece", F.lit(0).cast("bigint"))
+    cut = in_pieces(cut, slices, tie, chunk_rows)
     point = F.struct("time", *tie, *fields)
     return cut.groupBy(*slices, "piece").agg(
         F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(point)).alias("points")

@@ -21,6 +21,8 @@ from tripwright.operators.skew import (
     heavy_keys,
 )
 
+MAX_RANGES = 20_000
+
 
 def over_tracks(
     rows: DataFrame,
@@ -47,7 +49,9 @@ def over_tracks(
         return compute(rows, Window.partitionBy(*keys).orderBy(*order))
 
     marks = heavy.for_join().drop("_rows")
-    blocks = _blocks(rows.join(marks, keys, "left_semi"), keys, order, reach, limit)
+    # As many ranges as there are blocks, within what a scheduler handles well.
+    parts = min(heavy.rows // limit + 2, MAX_RANGES)
+    blocks = _blocks(rows.join(marks, keys, "left_semi"), keys, order, reach, limit, parts)
     plain = (
         rows.join(marks, keys, "left_anti")
         .withColumn("_block", F.lit(0).cast("bigint"))
@@ -60,11 +64,11 @@ def over_tracks(
 
 
 def _blocks(
-    rows: DataFrame, keys: list[str], order: Sequence[Column], reach: int, limit: int
+    rows: DataFrame, keys: list[str], order: Sequence[Column], reach: int, limit: int, parts: int
 ) -> DataFrame:
     # The range partitions are even even if one key holds everything, because the order columns
     # take part in the ranges. Their ids are checkpointed, so counts and rows agree afterwards.
-    ranged = rows.repartitionByRange(*[F.col(k) for k in keys], *order)
+    ranged = rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
     part_keys = [*keys, "_part"]
     local = checkpointed(
         ranged.withColumn("_part", F.spark_partition_id()).withColumn(

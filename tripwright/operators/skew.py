@@ -22,11 +22,11 @@ BROADCAST_ROWS = 200_000
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Keys above the row limit with the number of rows of each (column ``_rows``)."""
+    """Keys above the row limit, with the rows of each (column ``_rows``) and of all of them."""
 
-    keys: list[str]
     frame: DataFrame
     size: int
+    rows: int
 
     def for_join(self) -> DataFrame:
         return broadcast_if_small(self.frame, self.size)
@@ -41,7 +41,37 @@ def heavy_keys(frame: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK
     counts = (
         frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
     )
-    return HeavyKeys(list(keys), counts, counts.count())
+    size, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    return HeavyKeys(counts, size, rows)
+
+
+def in_pieces(
+    frame: DataFrame, keys: Sequence[str], spread: Sequence[str], piece_rows: int
+) -> DataFrame:
+    """Add ``piece``, so that a group by keys and piece has about ``piece_rows`` rows at most.
+
+    Groups up to that size are one piece, number 0. Larger ones are dealt by a hash of the
+    ``spread`` columns, which must tell the rows of a group apart.
+    """
+    heavy = heavy_keys(frame, keys, piece_rows)
+    if heavy.size == 0:
+        return frame.withColumn("piece", F.lit(0).cast("bigint"))
+    pieces = heavy.frame.select(*keys, F.ceil(F.col("_rows") / piece_rows).alias("_pieces"))
+    numbered = frame.join(broadcast_if_small(pieces, heavy.size), list(keys), "left")
+    piece = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_pieces")), F.lit(0))
+    return numbered.withColumn("piece", piece).drop("_pieces")
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    spread: Sequence[str],
+    limit: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Inner equi join that splits the heavy keys of its ``big`` side."""
+    left, right, joined_on = salted_pair(big, small, keys, spread, limit)
+    return left.join(right, joined_on).drop(*[k for k in joined_on if k not in keys])
 
 
 def salted_pair(

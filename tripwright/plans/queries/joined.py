@@ -37,8 +37,9 @@ from tripwright.schemas import COUNTERS, TEXTS
     )
 )
 def join_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = score.stored_samples(fx.stored_microtrips(spark, sf_dir))
-    joined = joins.join_samples(fx.scored_trips(spark, sf_dir), samples)
+    stored = fx.stored_microtrips(spark, sf_dir)
+    samples = score.stored_samples(stored)
+    joined = joins.join_samples(fx.scored_trips(spark, sf_dir), samples, score.SAMPLE_TIE)
     return joined.select(
         "trip_id",
         "vehicle_id",
@@ -75,7 +76,7 @@ def join_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_join_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fx.scored_trips(spark, sf_dir).select("trip_id", "vehicle_id")
     events = fx.stored_events(spark, sf_dir).select("trip_id", "event_id", "payload")
-    return joins.left_join_events(trips, events)
+    return joins.left_join_events(trips, events, ["event_id"])
 
 
 @query(

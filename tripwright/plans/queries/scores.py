@@ -206,7 +206,12 @@ def text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trip_event_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of both event lists per trip, from the nested result."""
     trips, microtrips, _ = _inputs(spark, sf_dir)
-    rows = score.score_events(trips, score.stored_samples(microtrips), fx.roads(spark, sf_dir))
+    rows = score.score_events(
+        trips,
+        score.stored_samples(microtrips),
+        fx.roads(spark, sf_dir),
+        heavy=score.heavy_tracks(microtrips, "trip_id"),
+    )
     return score.nested_events(rows).select(
         "trip_id",
         F.size("check_event").cast("bigint").alias("check_event"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,14 @@ from tripwright.operators.kinematics import with_moves
 from tripwright.operators.payloads import explode_samples, parse_samples, parse_trip_payload
 from tripwright.operators.points import sample_time
 from tripwright.operators.rollups import EVENT_COUNTS, track_facts
-from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, heavy_keys
-from tripwright.operators.stats import distinct_payloads, event_stats, stat_rows
+from tripwright.operators.skew import (
+    ROWS_PER_TASK,
+    HeavyKeys,
+    checkpointed,
+    heavy_keys,
+    in_pieces,
+)
+from tripwright.operators.stats import event_stats, stat_rows
 from tripwright.operators.tables import latest_per_key
 from tripwright.schemas import COUNTERS, SPEED_WINDOW, TEXTS
 
@@ -128,7 +135,8 @@ def heavy_tracks(
     Counting the stored messages reads the key column only; counting samples would parse every
     payload.
     """
-    return heavy_keys(microtrips, [key], max(limit // SAMPLES_PER_MESSAGE, 1))
+    found = heavy_keys(microtrips, [key], max(limit // SAMPLES_PER_MESSAGE, 1))
+    return replace(found, rows=found.rows * SAMPLES_PER_MESSAGE)
 
 
 def matched_samples(
@@ -287,27 +295,24 @@ def score_events(
     return all_events(rows, event_rows(fast, F.concat_ws("#", sample, F.col("road_id"))))
 
 
-def nested_events(rows: DataFrame, key: str = "trip_id") -> DataFrame:
-    """Both event lists of a trip in one row, for readers of the nested result."""
+def nested_events(rows: DataFrame, key: str = "trip_id", row_events: int = 100_000) -> DataFrame:
+    """Both event lists of a trip in one row, for readers of the nested result.
+
+    A trip with more than ``row_events`` events has several rows, numbered by ``piece``. The
+    rows, few compared to the samples, are written once and not found twice.
+    """
+    rows = checkpointed(rows)
     fields = [c for c in rows.columns if c not in (key, "source")]
 
     def listed(source: str) -> Column:
         item = F.when(F.col("source") == source, F.struct(*fields))
         return F.array_sort(F.collect_list(item)).alias(source)
 
-    return rows.groupBy(key).agg(listed("check_event"), listed("check_over_limit"))
+    pieces = in_pieces(rows, [key], ["id"], row_events)
+    return pieces.groupBy(key, "piece").agg(listed("check_event"), listed("check_over_limit"))
 
 
 def overlimit_of(rows: DataFrame) -> DataFrame:
     return over_limit_counts(
         rows.where(F.col("event_type") == event_code(F.lit("overlimit")))
     )
-
-
-def collected_payloads(events: DataFrame, key: str = "trip_id") -> DataFrame:
-    """The different payloads of a trip in one sorted array."""
-    return (
-        distinct_payloads(events, key)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list("payload")).alias("event_payload"))
-    )
