@@ -8,7 +8,7 @@ from tripwright.plans import score
 from tripwright.sources.streams import drop_resent, file_messages
 from tripwright.streaming import ingest
 from tripwright.streaming import score as app
-from tripwright.streaming.sinks import folder_forward, print_rows, start_key_counts
+from tripwright.streaming.sinks import folder_forward, print_rows, progress_state, start_key_counts
 
 NOW = {"availableNow": True}
 KV = "key string, value string"
@@ -72,6 +72,9 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
     history = spark.read.parquet(f"{base}/tables/streaming_history")
     assert sorted(r.batch for r in history.collect()) == [0, 1]
+    assert [(r.profile, r.batch) for r in progress_state(spark, f"{base}/tables").collect()] == [
+        ("ingest", 1)
+    ]
 
     # A second start finds nothing new.
     before = spark.read.parquet(f"{base}/tables/sf_microtrip").count()

@@ -78,6 +78,23 @@ def trip_score_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(score.trip_score(*_inputs(spark, sf_dir)))
 
 
+@query(
+    sql(
+        """SELECT t.trip_id, f.mtrip_cnt, coalesce(o.overlimit, 0) AS overlimit
+        FROM fx_trips t JOIN facts f ON f.trip_id = t.trip_id LEFT JOIN (
+          SELECT m.trip_id, count(*) AS overlimit FROM moves m JOIN fx_roads ON lon >= min_lon
+           AND lon < max_lon AND lat >= min_lat AND lat < max_lat AND speed_mh > max_speed_mh
+          GROUP BY m.trip_id) o ON o.trip_id = t.trip_id""",
+        *STAT_CTES,
+        FX_ROADS,
+    )
+)
+def trip_stat_with_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip result counts exceeded limits where roads are given."""
+    result = score.trip_score(*_inputs(spark, sf_dir), roads=fx.roads(spark, sf_dir))
+    return result.select("trip_id", "mtrip_cnt", "overlimit")
+
+
 @query(
     sql(
         f"""SELECT t.trip_id, {DIS} AS trip_dist, coalesce(l.metres, 0) AS device_dist,

@@ -96,11 +96,15 @@ def trip_score(
     window: int = SPEED_WINDOW,
     zone: str = "UTC",
     limit: int = ROWS_PER_TASK,
+    roads: DataFrame | None = None,
 ) -> DataFrame:
-    """Result per trip of a one-device vehicle: samples and events are found by trip id."""
+    """Result per trip of a one-device vehicle: samples and events are found by trip id.
+
+    With ``roads`` the result also counts exceeded speed limits.
+    """
     heavy = heavy_tracks(microtrips, "trip_id", limit)
     samples = stored_samples(microtrips)
-    return trip_result(latest_trips(trips), samples, events, window, zone, limit, heavy)
+    return trip_result(latest_trips(trips), samples, events, window, zone, limit, heavy, roads)
 
 
 def trip_result(
@@ -111,6 +115,7 @@ def trip_result(
     zone: str = "UTC",
     limit: int = ROWS_PER_TASK,
     heavy: HeavyKeys | None = None,
+    roads: DataFrame | None = None,
 ) -> DataFrame:
     """Result per trip from unique trips, their samples and their events.
 
@@ -119,12 +124,32 @@ def trip_result(
     """
     facts = track_facts(samples, ("trip_id",), SAMPLE_TIE, window, limit=limit, heavy=heavy)
     own = with_trip_distance(trips).select("trip_id", *TRIP_IDS, "trip_dist")
-    return _result(own.join(facts, "trip_id"), event_stats(events), "trip_id", zone)
+    limits = _limits(samples, roads, "trip_id", SAMPLE_TIE, window, limit, heavy)
+    return _result(own.join(facts, "trip_id"), event_stats(events), "trip_id", zone, limits)
+
+
+def _limits(
+    samples: DataFrame,
+    roads: DataFrame | None,
+    key: str,
+    tie: Sequence[str],
+    window: int,
+    limit: int,
+    heavy: HeavyKeys | None,
+) -> DataFrame | None:
+    """Number of exceeded limits per track."""
+    if roads is None:
+        return None
+    moved = with_moves(samples, window, (key,), tie, limit, heavy).where("is_move")
+    fast = over_limit(moved, roads, list(tie), limit=limit)
+    return fast.groupBy(key).agg(F.count(F.lit(1)).alias("overlimit"))
 
 
-def _result(joined: DataFrame, texts: DataFrame, key: str, zone: str) -> DataFrame:
-    stats = stat_rows(joined, texts, key, zone=zone).withColumn("device_dist", F.col("distance"))
-    return _gated(stats).select(*RESULT)
+def _result(
+    joined: DataFrame, texts: DataFrame, key: str, zone: str, limits: DataFrame | None
+) -> DataFrame:
+    stats = stat_rows(joined, texts, key, zone=zone, over_limits=limits)
+    return _gated(stats.withColumn("device_dist", F.col("distance"))).select(*RESULT)
 
 
 def heavy_tracks(
@@ -214,6 +239,7 @@ def multi_trip_score(
     window: int = SPEED_WINDOW,
     zone: str = "UTC",
     limit: int = ROWS_PER_TASK,
+    roads: DataFrame | None = None,
 ) -> DataFrame:
     """Result of vehicles with several devices, per vehicle or, ``by='trip_id'``, per trip.
 
@@ -225,7 +251,7 @@ def multi_trip_score(
     heavy = heavy_tracks(microtrips, "vehicle_id", limit)
     samples = matched_samples(own, microtrips, limit, levels, heavy)
     found = matched_events(own, events, limit, levels)
-    return multi_trip_result(own, samples, found, by, window, zone, limit, heavy)
+    return multi_trip_result(own, samples, found, by, window, zone, limit, heavy, roads)
 
 
 def multi_trip_result(
@@ -237,17 +263,20 @@ def multi_trip_result(
     zone: str = "UTC",
     limit: int = ROWS_PER_TASK,
     heavy_vehicles: HeavyKeys | None = None,
+    roads: DataFrame | None = None,
 ) -> DataFrame:
     """Result per vehicle or trip from unique trips and what matched them by time range."""
     heavy = tracks_to_cut(by, heavy_vehicles)
     first = F.min(F.struct("start_ts", "trip_id")).alias("_first")
-    facts = track_facts(samples, (by,), multi_tie(by), window, extra=[first], limit=limit, heavy=heavy)
+    tie = multi_tie(by)
+    facts = track_facts(samples, (by,), tie, window, extra=[first], limit=limit, heavy=heavy)
     if by != "trip_id":
         facts = facts.withColumn("trip_id", F.col("_first.trip_id"))
     ids = [c for c in TRIP_IDS if c != by]
     own = with_trip_distance(trips).select("trip_id", *ids, "trip_dist")
     joined = facts.drop("_first").join(own, "trip_id")
-    return _result(joined, event_stats(events, by), by, zone)
+    limits = _limits(samples, roads, by, tie, window, limit, heavy)
+    return _result(joined, event_stats(events, by), by, zone, limits)
 
 
 def multi_tie(by: str) -> tuple[str, ...]:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions.ids import millis_date, uuid_date
-from tripwright.operators.tables import latest_per_key
 from tripwright.schemas import TABLES
 
 BATCH = "batch_id"
@@ -116,8 +115,15 @@ def scan_latest(
     schema: str,
     where: Column | None = None,
 ) -> DataFrame:
+    """Current rows, with the batch that wrote them.
+
+    The newest batch per key comes from two narrow columns; rows are then kept by key and batch.
+    A pair of those has one row, so many versions of one key do not meet in a task, and columns
+    nobody asks for are not read.
+    """
     versions = scan_versions(spark, root, name, schema, where).drop(DAY)
-    return latest_per_key(versions, keys, [BATCH])
+    newest = versions.groupBy(*keys).agg(F.max(BATCH).alias(BATCH))
+    return versions.join(newest, [*keys, BATCH], "left_semi")
 
 
 def load_table(

@@ -111,7 +111,9 @@ def score_batch(
             with kept(only(stored, trips, "trip_id", size)) as microtrips:
                 heavy = heavy_tracks(microtrips, "trip_id")
                 samples = stored_samples(microtrips)
-                result = trip_result(trips, samples, events, zone=zone, heavy=heavy)
+                result = trip_result(
+                    trips, samples, events, zone=zone, heavy=heavy, roads=roads
+                )
                 write_versions(result, target, "trip_stat", batch_id, day_of_trip())
                 rows = score_events(trips, samples, roads, heavy=heavy)
                 write_versions(rows, target, "gps_event", batch_id, day_of_trip())
@@ -151,7 +153,7 @@ def score_multi_batch(
             found = matched_events(trips, events, levels=levels)
             with kept(matched_samples(trips, microtrips, levels=levels, heavy=heavy)) as samples:
                 result = multi_trip_result(
-                    trips, samples, found, by, zone=zone, heavy_vehicles=heavy
+                    trips, samples, found, by, zone=zone, heavy_vehicles=heavy, roads=roads
                 )
                 write_versions(result, target, "ms_trip_stat", batch_id, day_of_trip())
                 cut = tracks_to_cut(by, heavy)

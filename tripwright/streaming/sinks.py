@@ -15,6 +15,9 @@ from tripwright.sources.tables import layouts, write_versions
 
 Forward = Callable[[DataFrame, int], None]
 
+PROGRESS = "profile string, batch bigint, stime timestamp, etime timestamp, elapsed bigint"
+PROGRESS_COLUMNS = ("profile", "batch", "stime", "etime", "elapsed")
+
 
 def upsert_batch(
     frame: DataFrame, root: str, name: str, batch_id: int, day: Column | None = None
@@ -64,14 +67,19 @@ def write_progress(
     ended = datetime.now(UTC)
     elapsed = int((ended - started).total_seconds() * 1000)
     row = spark.createDataFrame(
-        [(profile, batch_id, started, ended, elapsed)],
-        "profile string, batch bigint, stime timestamp, etime timestamp, elapsed bigint",
+        [(profile, batch_id, started, ended, elapsed)], PROGRESS
     )
     row.coalesce(1).write.mode("overwrite").parquet(
         f"{root}/streaming_history/app={profile}/batch_id={batch_id}"
     )
 
 
+def progress_state(spark: SparkSession, root: str) -> DataFrame:
+    """The last finished batch of every application."""
+    history = spark.read.schema(PROGRESS).parquet(f"{root}/streaming_history")
+    return latest_per_key(history.select(*PROGRESS_COLUMNS), ["profile"], ["batch"])
+
+
 def print_rows(frame: DataFrame, rows: int = 20, name: str | None = None) -> StreamingQuery | None:
     """Show a frame, or start a console query for a stream."""
     if not frame.isStreaming:
