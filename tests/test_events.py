@@ -20,7 +20,14 @@ def event_of(spark, before, after, category="taxi", rules=SPEED_RULES):
 
 @pytest.mark.parametrize(
     ("before", "after", "event"),
-    [(6, 14, "accel"), (50, 36, "deaccel"), (5, 13, "start"), (19, 5, "stop"), (20, 27, None), (9, 9, None)],
+    [
+        (6, 14, "accel"),
+        (50, 36, "deaccel"),
+        (5, 13, "start"),
+        (19, 5, "stop"),
+        (20, 27, None),
+        (9, 9, None),
+    ],
 )
 def test_taxi_rules(spark, before, after, event):
     assert event_of(spark, before, after) == event

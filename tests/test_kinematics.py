@@ -113,6 +113,14 @@ def test_one_track_holds_everything(spark):
     check(spark, rows, 5, limit=50)
 
 
+def test_rows_without_track_are_left_out(spark):
+    rows = [(None, i, 1000 * i, 127.0, 37.5) for i in range(1, 50)]
+    rows += [("t", 100 + i, 1000 * i, 127.0, 37.5) for i in range(1, 5)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for limit in (1000, 10, 3):
+        assert kin.moves(frame, 5, limit=limit).count() == 3
+
+
 def test_facts_count_unusable_samples_too(spark):
     rows = [("t", i, 1000 * i, 127.0, 37.5, i % 2, 31, 32) for i in range(1, 5)]
     rows.append(("t", 9, None, None, None, 64, None, None))

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from tripwright.operators import devices, payloads, points
 from tripwright.operators import messages as m
 from tripwright.schemas import SCORE_KEY
+from tripwright.sources.streams import text_messages
 
 KV = "key string, value string"
 
 
 def trip_message(**data):
     body = {"data": {"tripId": "t1", "startTs": 1528163784000, "endTs": 1528163790000, **data}}
-    return json.dumps({**body, "latestTrip": [{"deviceType": "GPS", "id": None}], "msgType": "trip"})
+    body |= {"latestTrip": [{"deviceType": "GPS", "id": None}], "msgType": "trip"}
+    return json.dumps(body, separators=(",", ":"))
 
 
 def test_numbers_keep_their_text(spark):
@@ -43,6 +45,15 @@ def test_lines_are_routed_by_kind(spark):
     assert routed[1].value == '{"data":{},"msgType":"trip"}' and routed[3].value == "nothing"
 
 
+def test_recorded_lines_are_read_as_messages(spark, tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_text(trip_message() + "\nsf-trip | " + trip_message() + "\n\nother\n")
+    recorded = text_messages(spark, str(path))
+    assert sorted(r.key for r in recorded.collect()) == ["none", "none", "sf-trip", "sf-trip"]
+    parsed = m.trip_rows(m.parse_trips(recorded)).collect()
+    assert [r.trip_id for r in parsed] == ["t1", "t1"]
+
+
 def test_forwarded_trips_parse_under_the_score_key(spark):
     frame = spark.createDataFrame([("sf-trip", trip_message()), ("sf-event", "{}")], KV)
     forwarded = m.to_score(frame)

@@ -168,7 +168,8 @@ def test_key_counts_and_console(spark, tmp_path):
 
 
 def test_messages_that_come_again_are_dropped(spark, tmp_path):
-    rows = [("2024-01-01 00:00:00", "a", "1"), ("2024-01-01 00:00:01", "a", "1"), ("2024-01-01 00:00:01", "a", "2")]
+    times = ("2024-01-01 00:00:00", "2024-01-01 00:00:01", "2024-01-01 00:00:01")
+    rows = [(t, "a", v) for t, v in zip(times, ("1", "1", "2"), strict=True)]
     frame = spark.createDataFrame(rows, "timestamp string, key string, value string")
     frame.selectExpr("timestamp(timestamp) AS timestamp", "key", "value").write.parquet(f"{tmp_path}/t/x")
     stream = drop_resent(file_messages(spark, f"{tmp_path}/t/*", timestamp=True))

@@ -37,12 +37,13 @@ def over_tracks(
 
     ``reach`` is the number of rows the computation looks back. It may look one row ahead.
     ``order`` must order the rows of a track without ties. ``compute`` must keep the columns
-    of its input and must not drop rows.
+    of its input and must not drop rows. Rows without key belong to no track and are left out.
 
     ``heavy`` are the tracks to cut, if the caller knows them from a cheaper count than one over
     ``rows``; more tracks than needed do no harm.
     """
     keys = list(keys)
+    rows = rows.dropna(subset=keys)
     if heavy is None:
         heavy = heavy_keys(rows, keys, limit)
     if heavy.size == 0:

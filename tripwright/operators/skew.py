@@ -38,8 +38,12 @@ def broadcast_if_small(frame: DataFrame, size: int) -> DataFrame:
 
 
 def heavy_keys(frame: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> HeavyKeys:
+    """Keys with more than ``limit`` rows; rows without key join nothing and do not count."""
     counts = (
-        frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+        frame.dropna(subset=list(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > limit)
     )
     size, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
     return HeavyKeys(counts, size, rows)

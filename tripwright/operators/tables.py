@@ -78,6 +78,7 @@ def next_key(rows: DataFrame, key: str, last: str | int | None = None) -> DataFr
 
 
 def latest_time_uuid(rows: DataFrame, keys: Sequence[str], uuid: str) -> DataFrame:
+    """Per key the time UUID that was made last."""
     return rows.groupBy(*keys).agg(latest_uuid(F.col(uuid)).alias("latest_" + uuid))
 
 

@@ -9,6 +9,7 @@ from tripwright.functions import codes, geo, ids, text
 from tripwright.operators import events as ev
 from tripwright.operators import kinematics as kin
 from tripwright.operators import rollups
+from tripwright.operators.tables import latest_time_uuid
 from tripwright.plans import fixtures as fx
 from tripwright.plans.oracle import (
     CODE,
@@ -150,8 +151,8 @@ CATEGORY = (
             WHEN speed_mh - prev_speed_mh > 0 AND speed_mh - prev_speed_mh >= gain THEN 'accel'
             WHEN speed_mh - prev_speed_mh <= loss AND speed_mh <= still THEN 'stop'
             WHEN speed_mh - prev_speed_mh <= loss THEN 'deaccel' END AS event
-          FROM moves m JOIN (VALUES ('taxi', 8000, 5000, -14000, 5000), ('bus', 6000, 5000, -9000, 5000),
-            ('truck', 5000, 5000, -8000, 5000), ('etas', 11000, 0, -7500, 0))
+          FROM moves m JOIN (VALUES ('taxi', 8000, 5000, -14000, 5000),
+            ('bus', 6000, 5000, -9000, 5000), ('truck', 5000, 5000, -8000, 5000), ('etas', 11000, 0, -7500, 0))
             AS s(category, gain, slow, loss, still) ON s.category = coalesce(
               CASE vehicle_id % 5 WHEN 0 THEN 'taxi' WHEN 1 THEN 'bus' WHEN 2 THEN 'truck'
                 WHEN 3 THEN 'etas' END, 'taxi')
@@ -428,8 +429,7 @@ def uuid_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def max_timeuuid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fx.points(spark, sf_dir).groupBy("vehicle_id")
-    return trips.agg(ids.latest_uuid(F.col("trip_id")).alias("latest_trip_id"))
+    return latest_time_uuid(fx.points(spark, sf_dir), ["vehicle_id"], "trip_id")
 
 
 @query(

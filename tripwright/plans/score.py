@@ -8,14 +8,12 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.functions.codes import event_code
 from tripwright.operators.devices import base_device_trips
 from tripwright.operators.events import (
     all_events,
     event_rows,
     from_satellite,
     over_limit,
-    over_limit_counts,
     with_traffic_event,
 )
 from tripwright.operators.joins import grid_levels, range_join
@@ -38,6 +36,7 @@ SAMPLE_TIE = ("micro_trip_id", "pos")
 # Samples a device usually sends in one micro-trip message.
 SAMPLES_PER_MESSAGE = 30
 TRIP_IDS = ("vehicle_id", "user_id", "company_id", "sensor_id", "device_type")
+TRIP_COLUMNS = ("trip_id", *TRIP_IDS, "start_ts", "end_ts", "trip_payload_str")
 RESULT = (
     "trip_id",
     "mtrip_cnt",
@@ -70,6 +69,7 @@ def latest_trips(trips: DataFrame) -> DataFrame:
 def stored_samples(microtrips: DataFrame) -> DataFrame:
     """Samples of stored micro-trips with their usable ``time``."""
     narrow = microtrips.select("trip_id", "micro_trip_id", "ts", "payload")
+    narrow = narrow.where(F.col("trip_id").isNotNull())
     return explode_samples(narrow).withColumn("time", sample_time())
 
 
@@ -246,7 +246,8 @@ def multi_trip_score(
     Only trips of the representative device count; samples and events of all devices are found
     by vehicle and time range. A vehicle's ids are those of its earliest trip with samples.
     """
-    own = base_device_trips(latest_trips(trips))
+    # Written once, as four parts of the plan start from the chosen trips.
+    own = checkpointed(base_device_trips(latest_trips(trips)).select(*TRIP_COLUMNS))
     levels = grid_levels(own, "start_ts", "end_ts")
     heavy = heavy_tracks(microtrips, "vehicle_id", limit)
     samples = matched_samples(own, microtrips, limit, levels, heavy)
@@ -339,9 +340,3 @@ def nested_events(rows: DataFrame, key: str = "trip_id", row_events: int = 100_0
 
     pieces = in_pieces(rows, [key], ["id"], row_events)
     return pieces.groupBy(key, "piece").agg(listed("check_event"), listed("check_over_limit"))
-
-
-def overlimit_of(rows: DataFrame) -> DataFrame:
-    return over_limit_counts(
-        rows.where(F.col("event_type") == event_code(F.lit("overlimit")))
-    )
