@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,23 @@ BATCH_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, which may not have it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_tripwright_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tripwright-")) / "tripwright.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(str(archive))
+    context._tripwright_shipped = True
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound what a Python worker gets at once, by rows and by bytes."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

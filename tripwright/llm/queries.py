@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwright.llm import bpe, fingerprints, language, line_dedup, packing, secrets
+from tripwright.llm import bpe, fingerprints, jaccard_join, language, line_dedup, packing, secrets
 from tripwright.llm.vocabulary import BYTE_BPE, WORD_BPE, vocabulary
 
 
@@ -25,6 +25,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.summary(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_language": op3_language,
     "op5_packing": op5_packing,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
