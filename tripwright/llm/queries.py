@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwright.llm import bpe, fingerprints, jaccard_join, language, line_dedup, packing, secrets
+from tripwright.llm import bpe, fingerprints, jaccard_join, language, lempel_ziv_dedup, line_dedup, packing, secrets, suffix_dedup
 from tripwright.llm.vocabulary import BYTE_BPE, WORD_BPE, vocabulary
 
 
@@ -16,11 +16,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), with_ids=False)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.trained(docs))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel_ziv_dedup.drop_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
@@ -43,7 +51,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language": op3_language,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
