@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, fingerprints, jaccard_join, language, lempel_ziv_dedup, line_dedup, packing, secrets, suffix_dedup
+from tripwright.llm import bpe, fingerprints, hnsw, jaccard_join, language, lempel_ziv_dedup, line_dedup, packing, secrets, suffix_dedup
 from tripwright.llm.vocabulary import BYTE_BPE, WORD_BPE, vocabulary
 
 
@@ -37,6 +38,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_components(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.summary(table(spark, sf_dir, "documents"))
 
@@ -56,6 +63,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_nearest": op7_nearest,
     "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
