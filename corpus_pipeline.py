@@ -10,28 +10,34 @@ from tripwright.llm.common import written
 from tripwright.llm.vocabulary import WORD_BPE, vocabulary
 
 
+def with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``n_chars`` follows the text, where the table has it."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return docs.select(*(F.col(f"`{c}`") for c in columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that the labelled rows have; ``und`` goes. ``lang`` becomes the prediction."""
-    columns = docs.columns
-    found = language.tagged(docs, language.trained(docs))
-    return found.where(F.col("_id_lang") != language.UNKNOWN).withColumn("lang", F.col("_id_lang")).select(columns)
+    found = language.tagged(docs, language.trained(docs)).where(F.col("lang") != language.UNKNOWN)
+    return found.select(*((F.col("lang") if c == "lang" else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that many documents repeat; ``n_chars`` follows the text."""
-    return line_dedup.drop_repeated(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """Texts without lines that many documents repeat."""
+    return with_length(line_dedup.drop_repeated(docs), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id; a null id is the least."""
-    classes = jaccard_join.linked_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(classes, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(docs.columns)
+    """One document of each group of near copies: the one with the least id, once; a null id is the least."""
+    least = jaccard_join.linked_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("least")).distinct()
+    kept = docs.join(least, docs["doc_id"].eqNullSafe(least["least"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def mark_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with secrets replaced by a mark; no document goes."""
-    marked = secrets.redact(docs)
-    return marked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return with_length(secrets.redact(docs), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

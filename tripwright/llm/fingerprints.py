@@ -34,7 +34,7 @@ SAFE_SPAN = 512
 SPAN = 24
 SKETCH = 64
 #: Text bytes of one range of ids that a task holds at once.
-RANGE_BYTES = 12 << 20
+RANGE_BYTES = 4 << 20
 
 
 class PrefixHashes:
@@ -202,13 +202,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         least = NULL_ID
     firsts = sorted({least, *bounds})
     before = {first: bisect_right(bounds, firsts[k - 1]) for k, first in enumerate(firsts)}
-    mapping = F.create_map(*[x for first, r in before.items() for x in (F.lit(first), F.lit(r))])
     own = rows.withColumn("part", range_of("key")).withColumn("guest", F.lit(False))
-    starts = spark.createDataFrame([(f,) for f in firsts], "key long")
+    starts = spark.createDataFrame([(f, before[f]) for f in firsts], "key long, part int")
     # of rows with one first id the least text is the guest
     guests = (
-        rows.join(F.broadcast(starts), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
-        .select(F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "text", "key", mapping[F.col("key")].cast("int").alias("part"), F.lit(True).alias("guest"))
+        rows.join(F.broadcast(starts), "key").groupBy("key", "part").agg(F.min("text").alias("text"))
+        .select(F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "text", "key", "part", F.lit(True).alias("guest"))
     )
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_start long"

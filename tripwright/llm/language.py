@@ -10,7 +10,7 @@ bound; every row is predicted from its whole text.
 
 Defined cases: ``und`` with score 0 if the text is null or has no letter, or if no row is labelled; repeated rows
 give repeated results; an empty table gives an empty table; a language with a single row is learned from it; other
-columns are ignored (``identify``) or kept (``tagged``).
+columns are ignored (``identify``) or kept inside the row's struct (``tagged``).
 """
 
 from __future__ import annotations
@@ -207,8 +207,8 @@ def identify(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col
     return found.withColumn("ambiguous", F.col("score") < 0.5 + AMBIGUOUS)
 
 
-def tagged(docs: DataFrame, model: CodeModel, text_col: str = "text", prefix: str = "_id_") -> DataFrame:
-    """All columns of the rows, with ``<prefix>lang`` and ``<prefix>score``."""
+def tagged(docs: DataFrame, model: CodeModel, text_col: str = "text") -> DataFrame:
+    """(row, lang, score): each whole row as a struct beside its language."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -218,5 +218,5 @@ def tagged(docs: DataFrame, model: CodeModel, text_col: str = "text", prefix: st
         languages, scores = shared.value.decode(pa.array(texts, pa.string(), from_pandas=True))
         return pd.DataFrame({"lang": languages, "score": scores})
 
-    found = docs.withColumn(f"{prefix}found", predict(F.col(f"`{text_col}`")))
-    return found.withColumns({f"{prefix}lang": F.col(f"{prefix}found.lang"), f"{prefix}score": F.col(f"{prefix}found.score")}).drop(f"{prefix}found")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), predict(F.col(f"`{text_col}`")).alias("found"))
+    return rows.select("row", F.col("found.lang").alias("lang"), F.col("found.score").alias("score"))

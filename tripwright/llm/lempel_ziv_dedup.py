@@ -3,7 +3,7 @@ document with a smaller id.
 
 Reference blocks are the contexts that share an anchor (``shared_windows``), so that every window which could match
 lies in one block. A context is factored greedily against the block of those with smaller ids: the block's index
-gives the places of the next 13 words, the place that goes on longest is the factor, and all its windows are
+has the next 13 words and a tree of what follows them, the longest way down is the factor, and all its windows are
 duplicates. Windows across the end of a factor are looked up one by one, as a factor of another reference may cover
 them. The context then joins the block.
 
@@ -37,12 +37,11 @@ def word_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class ReferenceBlock:
-    """Contexts with an index of all their windows."""
+    """Contexts with an index of all their windows; each leads to a tree of what follows it somewhere."""
 
     def __init__(self, length: int) -> None:
         self.length = length
-        self.index: dict[tuple[bytes, ...], list[tuple[int, int]]] = {}
-        self.contexts: list[tuple[bytes, ...]] = []
+        self.index: dict[tuple[bytes, ...], dict] = {}
         self.known: set[tuple[bytes, ...]] = set()
 
     def add(self, words: tuple[bytes, ...]) -> None:
@@ -50,21 +49,21 @@ class ReferenceBlock:
             return
         self.known.add(words)
         for at in range(len(words) - self.length + 1):
-            # of places with one continuation the first is enough
-            places = self.index.setdefault(words[at : at + self.length], [])
-            if all(self.contexts[c][p:] != words[at:] for c, p in places):
-                places.append((len(self.contexts), at))
-        self.contexts.append(words)
+            tree = self.index.setdefault(words[at : at + self.length], {})
+            for word in words[at + self.length :]:
+                tree = tree.setdefault(word, {})
 
     def factor(self, words: tuple[bytes, ...], at: int) -> int:
         """Words of the longest factor at a place; 0 if it is shorter than a window."""
-        best = 0
-        for context, place in self.index.get(words[at : at + self.length], ()):
-            reference, n = self.contexts[context], self.length
-            while at + n < len(words) and place + n < len(reference) and reference[place + n] == words[at + n]:
-                n += 1
-            best = max(best, n)
-        return best
+        tree = self.index.get(words[at : at + self.length])
+        if tree is None:
+            return 0
+        n = self.length
+        for word in words[at + n :]:
+            if (tree := tree.get(word)) is None:
+                break
+            n += 1
+        return n
 
     def parse(self, words: tuple[bytes, ...]) -> int:
         """Mask of the windows that factors cover."""

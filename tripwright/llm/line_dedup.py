@@ -13,7 +13,7 @@ key is a plain sort-merge join that adaptive execution splits where it is skewed
 Defined cases: a null or empty text is one empty line and stays an empty text; keys shorter than ``min_chars`` and
 lines in fewer than ``min_docs`` different ids stay; rows with one id count as one document, and of an id that is the
 largest all its rows keep the line, repeated rows too. A null id is the least id. Extra columns are ignored, or kept
-where whole rows are returned; helper columns have names of their own.
+where whole rows are returned; rows travel as one struct, so that no name of theirs can clash.
 """
 
 from __future__ import annotations
@@ -115,30 +115,33 @@ def repeated_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return lines, runs.keys().where(F.col("_docs") >= min_docs).select("_a", "_b", "_last")
 
 
-def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """All columns of the rows, the text without its repeated lines, and ``_n_lines`` and ``_n_dropped``."""
+def split_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int, batches: int) -> DataFrame:
+    """(row, own, gone, every, kept): each whole row beside its lines and those that stay."""
     lines, keys = repeated_keys(docs, id_col, text_col, min_chars, min_docs, batches)
     gone = (
         lines.join(keys.hint("merge"), ["_a", "_b"])
         .where(F.col("_id") != F.col("_last"))
         .groupBy("_id")
-        .agg(F.collect_set(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b"))).alias("_gone"))
+        .agg(F.collect_set(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b"))).alias("gone"))
     )
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    joined = docs.withColumn("_own", own_id).join(gone.hint("merge"), F.col("_own") == gone["_id"], "left")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("own"), split.alias("every")
+    )
+    joined = rows.join(gone.hint("merge"), F.col("own") == F.col("_id"), "left").drop("_id")
 
     def stays(line: Column) -> Column:
-        key = line_key(line)
-        return (F.length(line) < min_chars) | ~F.array_contains(F.col("_gone"), key_hash(key))
-
-    kept = F.when(F.col("_gone").isNull(), F.col("_all")).otherwise(F.filter(F.col("_all"), stays))
-    out = joined.withColumn("_all", split).withColumn("_kept", kept)
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
-    return (
-        out.withColumns({text_col: text, "_n_lines": F.size("_all").cast("long"), "_n_dropped": (F.size("_all") - F.size("_kept")).cast("long")})
-        .drop("_own", "_id", "_gone", "_all", "_kept")
-    )
+        return (F.length(line) < min_chars) | ~F.array_contains(F.col("gone"), key_hash(line_key(line)))
+
+    return joined.withColumn("kept", F.when(F.col("gone").isNull(), F.col("every")).otherwise(F.filter("every", stays)))
+
+
+def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
+    """The same rows and columns, the text without its repeated lines."""
+    out = split_rows(docs, id_col, text_col, min_chars, min_docs, batches)
+    own = F.col("row")
+    text = F.when(F.col("gone").isNull(), own.getField(text_col)).otherwise(F.array_join("kept", "\n"))
+    return out.select(*((text if c == text_col else own.getField(c)).alias(c) for c in docs.columns))
 
 
 def fresh_lines(batch: DataFrame, runs: LevelledRuns, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -149,11 +152,12 @@ def fresh_lines(batch: DataFrame, runs: LevelledRuns, id_col: str = "doc_id", te
     return fresh
 
 
-def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of each row."""
-    out = drop_repeated(docs.select(id_col, text_col), id_col, text_col, **options)
+    out = split_rows(docs.select(id_col, text_col), id_col, text_col, min_chars, min_docs, batches)
+    lines, kept = F.size("every").cast("long"), F.size("kept").cast("long")
     return out.select(
-        id_col, F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("kept_sha256")
+        F.col("row").getField(id_col).alias(id_col), lines.alias("n_lines"), (lines - kept).alias("n_dropped"), F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256")
     )
 
 
