@@ -89,7 +89,7 @@ def test_over_limit_on_short_and_long_roads(spark, monkeypatch):
     found = ev.over_limit(m, r, ["sample_id"]).collect()
     assert sorted((x.sample_id, x.road_id) for x in found) == expected
     # The same with a shuffled and salted grid.
-    monkeypatch.setattr(ev, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ev, "BROADCAST_BYTES", 0)
     salted = ev.over_limit(m, r, ["sample_id"], limit=7).collect()
     assert sorted((x.sample_id, x.road_id) for x in salted) == expected
 

@@ -25,7 +25,7 @@ def rows_of(frame, *drop):
 
 def run_ingest(spark, base):
     query = ingest.start_ingest(
-        file_messages(spark, f"{base}/topic/*"),
+        file_messages(spark, f"{base}/topic/*", files_per_batch=1),
         f"{base}/tables",
         f"{base}/checkpoint",
         folder_forward(f"{base}/score"),
@@ -36,7 +36,7 @@ def run_ingest(spark, base):
 
 def run_score(spark, base, start=app.start_score, **settings):
     query = start(
-        file_messages(spark, f"{base}/score/*"),
+        file_messages(spark, f"{base}/score/*", files_per_batch=1),
         f"{base}/tables",
         f"{base}/gold",
         f"{base}/checkpoint",
@@ -156,7 +156,7 @@ def test_vehicle_result_covers_earlier_trips(spark, tmp_path):
 
 def test_key_counts_and_console(spark, tmp_path):
     send(spark, f"{tmp_path}/topic", [("a", "1"), ("a", "2"), ("b", "3"), (None, "4")], "x")
-    stream = file_messages(spark, f"{tmp_path}/topic/*")
+    stream = file_messages(spark, f"{tmp_path}/topic/*", files_per_batch=1)
     counts = start_key_counts(stream, "key_counts", "memory", str(tmp_path / "cp"))
     counts.processAllAvailable()
     counts.stop()
@@ -172,7 +172,7 @@ def test_messages_that_come_again_are_dropped(spark, tmp_path):
     rows = [(t, "a", v) for t, v in zip(times, ("1", "1", "2"), strict=True)]
     frame = spark.createDataFrame(rows, "timestamp string, key string, value string")
     frame.selectExpr("timestamp(timestamp) AS timestamp", "key", "value").write.parquet(f"{tmp_path}/t/x")
-    stream = drop_resent(file_messages(spark, f"{tmp_path}/t/*", timestamp=True))
+    stream = drop_resent(file_messages(spark, f"{tmp_path}/t/*", timestamp=True, files_per_batch=1))
     query = stream.writeStream.format("memory").queryName("once").start()
     query.processAllAvailable()
     query.stop()

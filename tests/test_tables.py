@@ -52,6 +52,28 @@ def test_days_are_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(part_day" in plan
 
 
+def test_days_of_a_frame_prune_and_keys_filter_below_the_versions(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [event(1, "a"), event(2, "b", ts="1528250187376"), event(3, "c", ts=str(2**62))]
+    upsert_batch(events(spark, *rows), root, "event_by_vehicle", 0)
+    days = spark.createDataFrame([("2018-06-06",), ("none",)], "part_day string")
+    chosen = stored.load_table(spark, root, "event_by_vehicle", days=days)
+    assert sorted(r.key1 for r in chosen.collect()) == ["e2", "e3"]
+    own = stored.Among(spark.createDataFrame([("v",)], "vehicle_id string"), "vehicle_id")
+    plan = stored.load_table(spark, root, "event_by_vehicle", days=days, among=own)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate") < text.rindex("vehicle_id")
+    assert len(plan.collect()) == 2
+
+
+def test_a_repeated_batch_leaves_nothing_of_its_first_attempt(spark, tmp_path):
+    root = str(tmp_path)
+    for ts in ("1528163787376", "1528250187376"):
+        upsert_batch(events(spark, event(1, ts, ts=ts)), root, "event_by_vehicle", 0)
+    kept = stored.load_table(spark, root, "event_by_vehicle").collect()
+    assert [r.payload for r in kept] == ["1528250187376"]
+
+
 def test_view_of_a_stored_table(spark, tmp_path):
     upsert_batch(events(spark, event(1, "a")), str(tmp_path), "sf_event", 0)
     stored.load_table(spark, str(tmp_path), "sf_event", as_view=True)

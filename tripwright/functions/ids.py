@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # 100-ns intervals between 1582-10-15, where version-1 UUID time starts, and 1970-01-01.
 UUID_EPOCH_TICKS = 122192928000000000
+# Unix milliseconds of the first and last instant of the years 1 to 9999.
+CALENDAR_MS = (-62135596800000, 253402300799999)
 
 
 def uuid_ticks(uuid: Column) -> Column:
@@ -22,9 +24,13 @@ def uuid_millis(uuid: Column) -> Column:
 
 
 def millis_date(millis: Column, zone: str = "UTC") -> Column:
-    """Calendar date of a Unix time in a given zone, whatever the session zone is."""
+    """Calendar date of a Unix time in a given zone, whatever the session zone is.
+
+    NULL for a time outside the calendar, which a faulty device may send.
+    """
+    known = F.when(millis.between(*CALENDAR_MS), millis)
     instant = F.timestamp_add(
-        "MILLISECOND", millis, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+        "MILLISECOND", known, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     )
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), instant).cast("date")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripwright.functions.codes import event_code
 from tripwright.functions.ids import row_id
 from tripwright.functions.text import over_limit_info
-from tripwright.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, salted_pair
+from tripwright.operators.skew import BROADCAST_BYTES, ROWS_PER_TASK, row_bytes, salted_pair
 from tripwright.schemas import (
     DEFAULT_CATEGORY,
     SATELLITE_DEVICES,
@@ -185,7 +185,7 @@ def over_limit(
         "_y", F.floor(F.col("lat") / size)
     )
     keys = ["_level", "_x", "_y"]
-    if total <= BROADCAST_ROWS:
+    if total * row_bytes(cells) <= BROADCAST_BYTES:
         joined = placed.join(F.broadcast(cells), keys)
     else:
         big, small, salted = salted_pair(placed, cells, keys, spread, limit)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tripwright.operators.events import with_traffic_event
 from tripwright.operators.kinematics import TIE, TRACK, driven_distance, with_moves
-from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys, in_pieces
+from tripwright.operators.sequence import with_pieces
+from tripwright.operators.skew import ROWS_PER_TASK, HeavyKeys
 from tripwright.operators.stats import counter_sums
 from tripwright.schemas import SPEED_WINDOW
 
@@ -54,9 +55,12 @@ def trip_rollup(
 ) -> DataFrame:
     """Sample count and time span per trip; ``firsts`` are those of the earliest sample.
 
-    The earliest sample, unlike the first to arrive, is the same in every run.
+    The earliest sample, unlike the first to arrive, is the same in every run. A sample without
+    usable time counts, but is the earliest only if no sample of the trip has a time.
     """
-    earliest = F.min(F.struct("time", *tie, *firsts)).alias("_first")
+    row = F.struct("time", *tie, *firsts)
+    timed = F.min(F.when(F.col("time").isNotNull(), row))
+    earliest = F.coalesce(timed, F.min(row)).alias("_first")
     return (
         samples.groupBy(key)
         .agg(
@@ -89,13 +93,12 @@ def collect_points(
 ) -> DataFrame:
     """Points of a track as arrays in time order, one row per piece of the track.
 
-    A piece holds the points of one ``chunk_ms`` time slice. A slice with more than
-    ``chunk_rows`` points is cut by a hash of its tie columns into enough arrays of about that
-    size, so no array grows with the data. ``piece`` numbers the arrays of a slice.
+    A piece holds up to ``chunk_rows`` consecutive points of one ``chunk_ms`` time slice, so no
+    array grows with the data. ``piece`` numbers the arrays of a slice.
     """
     slices = [*keys, "slice"]
     cut = points.withColumn("slice", F.call_function("div", F.col("time"), F.lit(chunk_ms)))
-    cut = in_pieces(cut, slices, tie, chunk_rows)
+    cut = with_pieces(cut, slices, [F.col(c) for c in ("time", *tie)], chunk_rows)
     point = F.struct("time", *tie, *fields)
     return cut.groupBy(*slices, "piece").agg(
         F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(point)).alias("points")

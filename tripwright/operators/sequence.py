@@ -18,11 +18,10 @@ from tripwright.operators.skew import (
     HeavyKeys,
     broadcast_if_small,
     checkpointed,
+    ensure_checkpoint_folder,
     heavy_keys,
 )
 
-MAX_RANGES = 20_000
-
 
 def over_tracks(
     rows: DataFrame,
@@ -43,6 +42,7 @@ def over_tracks(
     ``rows``; more tracks than needed do no harm.
     """
     keys = list(keys)
+    ensure_checkpoint_folder(rows.sparkSession)
     rows = rows.dropna(subset=keys)
     if heavy is None:
         heavy = heavy_keys(rows, keys, limit)
@@ -50,8 +50,7 @@ def over_tracks(
         return compute(rows, Window.partitionBy(*keys).orderBy(*order))
 
     marks = heavy.for_join().drop("_rows")
-    # As many ranges as there are blocks, within what a scheduler handles well.
-    parts = min(heavy.rows // limit + 2, MAX_RANGES)
+    parts = heavy.rows // limit + 2  # as many ranges as there are blocks
     blocks = _blocks(rows.join(marks, keys, "left_semi"), keys, order, reach, limit, parts)
     plain = (
         rows.join(marks, keys, "left_anti")
@@ -64,9 +63,41 @@ def over_tracks(
     return done.where(~F.col("_context")).drop("_block", "_context")
 
 
-def _blocks(
-    rows: DataFrame, keys: list[str], order: Sequence[Column], reach: int, limit: int, parts: int
+def with_pieces(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    piece_rows: int,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
+    """Add ``piece``: the place of a row among those of its key, in order, div ``piece_rows``.
+
+    The rule is the same for all sizes, so pieces always hold consecutive rows. ``order`` must
+    order the rows of a key without ties. Rows without key are left out.
+    """
+    keys = list(keys)
+    ensure_checkpoint_folder(rows.sparkSession)
+    rows = rows.dropna(subset=keys)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    heavy = heavy_keys(rows, keys, limit)
+    if heavy.size == 0:
+        placed = rows.withColumn("_place", place.cast("bigint"))
+    else:
+        marks = heavy.for_join().drop("_rows")
+        light = rows.join(marks, keys, "left_anti").withColumn("_place", place.cast("bigint"))
+        parts = heavy.rows // limit + 2
+        split = _placed(rows.join(marks, keys, "left_semi"), keys, order, parts)
+        whole = (F.col("_start") + F.col("_place") - 1).cast("bigint")
+        split = split.withColumn("_place", whole).select(*light.columns)
+        placed = light.unionByName(split)
+    piece = F.call_function("div", F.col("_place"), F.lit(piece_rows)).cast("bigint")
+    return placed.withColumn("piece", piece).drop("_place")
+
+
+def _placed(
+    rows: DataFrame, keys: list[str], order: Sequence[Column], parts: int
+) -> DataFrame:
+    """Rows with ``_place``, from 1, in a range of their track and the rows before it, ``_start``."""
     # The range partitions are even even if one key holds everything, because the order columns
     # take part in the ranges. Their ids are checkpointed, so counts and rows agree afterwards.
     ranged = rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
@@ -82,8 +113,13 @@ def _blocks(
     starts = sizes.select(
         *part_keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
-    placed = local.join(broadcast_if_small(starts, starts.count()), part_keys)
+    return local.join(broadcast_if_small(starts, starts.count()), part_keys)
 
+
+def _blocks(
+    rows: DataFrame, keys: list[str], order: Sequence[Column], reach: int, limit: int, parts: int
+) -> DataFrame:
+    placed = _placed(rows, keys, order, parts)
     length = max(limit, reach + 1)
     place = F.col("_start") + F.col("_place") - 1
     block = F.call_function("div", place, F.lit(length)).cast("bigint")

@@ -11,13 +11,15 @@ import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of one key that a single task may hold.
 ROWS_PER_TASK = 2_000_000
-# Largest number of rows that is broadcast on purpose.
-BROADCAST_ROWS = 200_000
+# Largest frame that is broadcast on purpose, and what a value of no fixed width is taken for.
+BROADCAST_BYTES = 32 << 20
+WIDE_VALUE_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -32,40 +34,38 @@ class HeavyKeys:
         return broadcast_if_small(self.frame, self.size)
 
 
+def row_bytes(frame: DataFrame) -> int:
+    """Bytes of a row: 8 for numbers, dates and flags, ``WIDE_VALUE_BYTES`` for anything else."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return sum(8 if isinstance(f.dataType, fixed) else WIDE_VALUE_BYTES for f in frame.schema)
+
+
 def broadcast_if_small(frame: DataFrame, size: int) -> DataFrame:
-    """Broadcast a frame of known row count; a larger one is left to a shuffled join."""
-    return F.broadcast(frame) if size <= BROADCAST_ROWS else frame
+    """Broadcast a frame of known row count and few bytes; a larger one is left to a shuffle."""
+    return F.broadcast(frame) if size * row_bytes(frame) <= BROADCAST_BYTES else frame
 
 
-def heavy_keys(frame: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> HeavyKeys:
-    """Keys with more than ``limit`` rows; rows without key join nothing and do not count."""
+def heavy_keys(
+    frame: DataFrame,
+    keys: Sequence[str],
+    limit: int = ROWS_PER_TASK,
+    weight: Column | None = None,
+) -> HeavyKeys:
+    """Keys with more than ``limit`` rows; rows without key join nothing and do not count.
+
+    ``weight`` is the number of rows that a row will become, if not one.
+    """
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = (
         frame.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(rows.alias("_rows"))
         .where(F.col("_rows") > limit)
     )
     size, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
     return HeavyKeys(counts, size, rows)
 
 
-def in_pieces(
-    frame: DataFrame, keys: Sequence[str], spread: Sequence[str], piece_rows: int
-) -> DataFrame:
-    """Add ``piece``, so that a group by keys and piece has about ``piece_rows`` rows at most.
-
-    Groups up to that size are one piece, number 0. Larger ones are dealt by a hash of the
-    ``spread`` columns, which must tell the rows of a group apart.
-    """
-    heavy = heavy_keys(frame, keys, piece_rows)
-    if heavy.size == 0:
-        return frame.withColumn("piece", F.lit(0).cast("bigint"))
-    pieces = heavy.frame.select(*keys, F.ceil(F.col("_rows") / piece_rows).alias("_pieces"))
-    numbered = frame.join(broadcast_if_small(pieces, heavy.size), list(keys), "left")
-    piece = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_pieces")), F.lit(0))
-    return numbered.withColumn("piece", piece).drop("_pieces")
-
-
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -124,9 +124,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tripwright-checkpoint-")
 
 
+def ensure_checkpoint_folder(spark: SparkSession) -> None:
+    """Ask for the folder whatever the size of the data, so that growth alone never fails a query."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
     """Write the frame to reliable storage and go on from there."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(frame.sparkSession))
+    ensure_checkpoint_folder(frame.sparkSession)
     return frame.checkpoint()

@@ -26,13 +26,12 @@ from tripwright.sources.tables import parquet_table
 def points(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Position samples: one per row of ``events``, time squeezed to about 2 s per step.
 
-    ``spread`` deals the rows to all cores if the file has fewer splits than that, which pays
-    for work as heavy as writing and parsing JSON.
+    ``spread`` deals the rows to the shuffle partitions, which pays for work as heavy as writing
+    and parsing JSON.
     """
     events = parquet_table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
+    if spread:
+        events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
     return (
         events.selectExpr(
             "event_id",

@@ -243,9 +243,13 @@ def _norm(value: str, low: float, high: float) -> str:
 NORMS = f"""
 stats AS (
   SELECT t.vehicle_id, t.user_id, t.trip_id, t.end_ts, coalesce(l.metres, 0) AS dist,
-         f.accel, f.deaccel, 0::BIGINT AS overlimit
+         f.accel, f.deaccel, coalesce(o.overlimit, 0) AS overlimit
   FROM fx_trips t JOIN facts f ON f.trip_id = t.trip_id
-  LEFT JOIN lengths l ON l.trip_id = t.trip_id),
+  LEFT JOIN lengths l ON l.trip_id = t.trip_id
+  LEFT JOIN (
+    SELECT m.trip_id, count(*) AS overlimit FROM moves m JOIN fx_roads ON lon >= min_lon
+     AND lon < max_lon AND lat >= min_lat AND lat < max_lat AND speed_mh > max_speed_mh
+    GROUP BY m.trip_id) o ON o.trip_id = t.trip_id),
 norms AS (
   SELECT *, {_norm('dist', 10000, 320000)} AS norm_dist, {_norm('accel', 0, 10)} AS norm_accel,
          {_norm('deaccel', 0, 10)} AS norm_deaccel, {_norm('overlimit', 0, 5)} AS norm_overlimit
@@ -258,7 +262,8 @@ ROUNDED = ("norm_dist", "norm_accel", "norm_deaccel", "norm_overlimit", "score")
 
 
 def _norms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.trip_norms(trip_score_result(spark, sf_dir))
+    stats = score.trip_score(*_inputs(spark, sf_dir), roads=fx.roads(spark, sf_dir))
+    return products.trip_norms(stats)
 
 
 @query(
@@ -267,6 +272,7 @@ def _norms(spark: SparkSession, sf_dir: str) -> DataFrame:
         + ", ".join(f"round({c}, 6) AS {c}" for c in ROUNDED)
         + " FROM scored",
         *STAT_CTES,
+        FX_ROADS,
         NORMS,
     )
 )
@@ -275,11 +281,12 @@ def trip_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VEHICLE_SCORES = """
-SELECT 'v' || vehicle_id AS vehicle_id, user_id, count(*) AS cnt, max(trip_id) AS ts,
+SELECT 'v' || vehicle_id AS vehicle_id, user_id, count(*) AS cnt, max(end_ts) AS ts,
 round(avg(score), 6) AS score FROM scored GROUP BY vehicle_id, user_id"""
 
 
-@query(sql(VEHICLE_SCORES, *STAT_CTES, NORMS))
+@query(sql(VEHICLE_SCORES, *STAT_CTES, FX_ROADS, NORMS))
 def vehicle_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = products.vehicle_scores(_norms(spark, sf_dir), F.col("trip_id"))
+    ends = fx.trips(spark, sf_dir).select("trip_id", "end_ts")
+    scores = products.vehicle_scores(_norms(spark, sf_dir).join(ends, "trip_id"), F.col("end_ts"))
     return scores.withColumn("score", F.round("score", 6))

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.operators import tables
+from tripwright.operators.skew import checkpoint_folder
 from tripwright.plans import fixtures as fx
-from tripwright.plans.oracle import ELEMENTS, FX_EVENTS, FX_POINTS, FX_TRIPS, sql
+from tripwright.plans.oracle import ELEMENTS, FX_EVENTS, FX_POINTS, FX_ROADS, FX_TRIPS, sql
 from tripwright.plans.queries.joined import STAT_CTES
 from tripwright.plans.queries.messages import FLAT_EVENT, PAYLOAD_KIND
 from tripwright.plans.queries.registry import query
 from tripwright.plans.queries.scores import NORMS, VEHICLE_SCORES, trip_score_result, vehicle_score
-from tripwright.sources.tables import conform
+from tripwright.sources.tables import BATCH, NO_DAY, conform, load_table, scan_latest, write_versions
+from tripwright.streaming.sinks import upsert_batch
+
+
+def _new_root(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/tables-{uuid4().hex}"
 
 
 @query(
@@ -25,7 +33,10 @@ from tripwright.sources.tables import conform
 )
 def scan_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table read in its catalog layout; a column it lacks is NULL."""
-    return conform(fx.stored_events(spark, sf_dir).drop("company_id"), "sf_event")
+    rows = conform(fx.stored_events(spark, sf_dir).drop("company_id"), "sf_event")
+    root = _new_root(spark)
+    upsert_batch(rows, root, "sf_event", 0)
+    return load_table(spark, root, "sf_event")
 
 
 @query(sql("SELECT min(trip_id) AS next_key FROM fx_points WHERE trip_id > '00000002-'", FX_POINTS))
@@ -48,9 +59,11 @@ def list_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trip_id", "event_id", "clt")
 
 
+# Ten days of writes in each.
+WRITE_BATCHES = 3
 WRITES = """
 writes AS (
-  SELECT vehicle_id || ':' || event_type AS key1, us // 864000000000 AS batch_id, event_id, value
+  SELECT vehicle_id || ':' || event_type AS key1, us // 8640000000000 AS batch_id, event_id, value
   FROM fx_base)"""
 
 
@@ -67,13 +80,16 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table after all batches of writes: per key the last write stays."""
     writes = fx.points(spark, sf_dir).selectExpr(
         "concat(vehicle_id, ':', event_type) AS key1",
-        "(clt - 1528163784000) div 43200 AS batch_id",
+        "(clt - 1528163784000) div 432000 AS batch_id",
         "event_id",
         "value",
     )
-    target = writes.where("batch_id = 0")
-    later = writes.where("batch_id > 0")
-    return tables.upsert(target, later, ["key1"], ["batch_id", "event_id"])
+    root, schema = _new_root(spark), "key1 string, event_id bigint, value double"
+    for n in range(WRITE_BATCHES):
+        batch = writes.where(F.col(BATCH) == n).drop(BATCH)
+        last = tables.latest_per_key(batch, ["key1"], ["event_id"])
+        write_versions(last, root, "writes", n, F.lit(NO_DAY))
+    return scan_latest(spark, root, "writes", ["key1"], schema)
 
 
 @query(
@@ -159,6 +175,6 @@ def rekey_stat_by_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(sql(VEHICLE_SCORES, *STAT_CTES, NORMS))
+@query(sql(VEHICLE_SCORES, *STAT_CTES, FX_ROADS, NORMS))
 def rekey_score_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.rekey(vehicle_score(spark, sf_dir), "score_by_user")

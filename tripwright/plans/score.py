@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,20 +20,18 @@ from tripwright.operators.kinematics import with_moves
 from tripwright.operators.payloads import explode_samples, parse_samples, parse_trip_payload
 from tripwright.operators.points import sample_time
 from tripwright.operators.rollups import EVENT_COUNTS, track_facts
+from tripwright.operators.sequence import with_pieces
 from tripwright.operators.skew import (
     ROWS_PER_TASK,
     HeavyKeys,
     checkpointed,
     heavy_keys,
-    in_pieces,
 )
 from tripwright.operators.stats import event_stats, stat_rows
 from tripwright.operators.tables import latest_per_key
 from tripwright.schemas import COUNTERS, SPEED_WINDOW, TEXTS
 
 SAMPLE_TIE = ("micro_trip_id", "pos")
-# Samples a device usually sends in one micro-trip message.
-SAMPLES_PER_MESSAGE = 30
 TRIP_IDS = ("vehicle_id", "user_id", "company_id", "sensor_id", "device_type")
 TRIP_COLUMNS = ("trip_id", *TRIP_IDS, "start_ts", "end_ts", "trip_payload_str")
 RESULT = (
@@ -62,8 +59,11 @@ EVENT_SCHEMA = (
 
 def latest_trips(trips: DataFrame) -> DataFrame:
     """One row per trip: a trip that was sent again counts once, in its last version."""
-    version = [c for c in ("timestamp", "trip_created_time", "end_ts") if c in trips.columns]
-    return latest_per_key(trips, ["trip_id"], version)
+    version = [c for c in ("timestamp", "_created", "end_ts") if c in (*trips.columns, "_created")]
+    if "trip_created_time" not in trips.columns:
+        return latest_per_key(trips, ["trip_id"], [c for c in version if c != "_created"])
+    created = trips.withColumn("_created", F.col("trip_created_time").try_cast("bigint"))
+    return latest_per_key(created, ["trip_id"], version).drop("_created")
 
 
 def stored_samples(microtrips: DataFrame) -> DataFrame:
@@ -155,13 +155,14 @@ def _result(
 def heavy_tracks(
     microtrips: DataFrame, key: str, limit: int = ROWS_PER_TASK
 ) -> HeavyKeys:
-    """Trips or vehicles with very many samples, by their number of micro-trips.
+    """Trips or vehicles with very many samples.
 
-    Counting the stored messages reads the key column only; counting samples would parse every
-    payload.
+    A sample is one JSON object, so a payload holds no more samples than opening braces; counting
+    those needs no parse, and a track that is cut without need gives the same result.
     """
-    found = heavy_keys(microtrips, [key], max(limit // SAMPLES_PER_MESSAGE, 1))
-    return replace(found, rows=found.rows * SAMPLES_PER_MESSAGE)
+    payload = F.col("payload")
+    braces = F.length(payload) - F.length(F.replace(payload, F.lit("{"), F.lit("")))
+    return heavy_keys(microtrips, [key], limit, F.greatest(F.coalesce(braces, F.lit(1)), F.lit(1)))
 
 
 def matched_samples(
@@ -189,7 +190,7 @@ def matched_samples(
         "end_ts",
         "ts",
         ["micro_trip_id"],
-        max(limit // SAMPLES_PER_MESSAGE, 1),
+        limit,
         levels=levels,
         heavy=heavy,
     )
@@ -328,8 +329,8 @@ def score_events(
 def nested_events(rows: DataFrame, key: str = "trip_id", row_events: int = 100_000) -> DataFrame:
     """Both event lists of a trip in one row, for readers of the nested result.
 
-    A trip with more than ``row_events`` events has several rows, numbered by ``piece``. The
-    rows, few compared to the samples, are written once and not found twice.
+    A row holds up to ``row_events`` events that follow each other in time; ``piece`` numbers the
+    rows of a trip. The events, few compared to the samples, are written once and not found twice.
     """
     rows = checkpointed(rows)
     fields = [c for c in rows.columns if c not in (key, "source")]
@@ -338,5 +339,6 @@ def nested_events(rows: DataFrame, key: str = "trip_id", row_events: int = 100_0
         item = F.when(F.col("source") == source, F.struct(*fields))
         return F.array_sort(F.collect_list(item)).alias(source)
 
-    pieces = in_pieces(rows, [key], ["id"], row_events)
+    order = [F.col(c) for c in ("event_ts", "source", "id")]
+    pieces = with_pieces(rows, [key], order, row_events)
     return pieces.groupBy(key, "piece").agg(listed("check_event"), listed("check_over_limit"))

@@ -30,14 +30,17 @@ def kafka_messages(
     return key_value(raw, timestamp)
 
 
-def file_messages(spark: SparkSession, folder: str, timestamp: bool = False) -> DataFrame:
-    """Messages from parquet files with the columns of a topic, one batch per file."""
+def file_messages(
+    spark: SparkSession, folder: str, timestamp: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
+    """Messages from parquet files with the columns of a topic; a batch takes all new files."""
     schema = "key string, value string"
     if timestamp:
         schema = "timestamp timestamp, " + schema
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    )
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def text_messages(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Stored tables in parquet: layout, versions, scans.
 
-A table is a folder ``<root>/<name>/part_day=<day>/batch_id=<n>``. Every write adds the versions
+A table is a folder ``<root>/<name>/batch_id=<n>/part_day=<day>``. Every write adds the versions
 of one batch; the current row of a key is its version from the latest batch. Writing a batch
-again replaces just its own folders, so a repeated batch changes nothing.
+again replaces its whole folder, so a repeated batch leaves nothing of its first attempt, even if
+late data have moved rows to other days meanwhile.
 """
 
 from __future__ import annotations
@@ -20,6 +21,16 @@ from tripwright.schemas import TABLES
 BATCH = "batch_id"
 DAY = "part_day"
 NO_DAY = "none"
+# Order inside the files of a table, so that row groups can be skipped by what readers ask for.
+CLUSTERING = {
+    "sf_microtrip": ("trip_id", "ts", "vehicle_id"),
+    "sf_trip": ("trip_id", "vehicle_id"),
+    "sf_event": ("trip_id", "event_ts", "vehicle_id"),
+    "microtrip_by_vehicle": ("vehicle_id", "ts", "trip_id"),
+    "event_by_vehicle": ("vehicle_id", "event_ts", "trip_id"),
+    "trip_stat": ("trip_id",),
+    "gps_event": ("trip_id", "event_ts"),
+}
 
 
 @dataclass(frozen=True)
@@ -31,6 +42,14 @@ class Layout:
     day: Column
 
 
+@dataclass(frozen=True)
+class Among:
+    """Rows of some keys only: ``rows`` has them in the column ``key``, each once."""
+
+    rows: DataFrame
+    key: str
+
+
 def day_of_trip(trip: str = "trip_id") -> Column:
     """Day inside a trip's time UUID: known from the id alone, on both sides of a join."""
     return F.coalesce(uuid_date(F.col(trip)).cast("string"), F.lit(NO_DAY))
@@ -78,24 +97,30 @@ def write_versions(frame: DataFrame, root: str, name: str, batch_id: int, day: C
     Rows are dealt to files by day, but a day with many rows gets several files and small days
     share a task (``rebalance``), and each file is sorted, so scans can skip row groups.
     """
-    filed = frame.withColumn(DAY, day).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    sort = [c for c in ("vehicle_id", "trip_id", "device_type", "ts") if c in frame.columns]
+    sort = [c for c in CLUSTERING.get(name, ("vehicle_id", "trip_id", "ts")) if c in frame.columns]
     (
-        filed.hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, BATCH, *sort)
+        frame.withColumn(DAY, day)
+        .hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, *sort)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, BATCH)
-        .parquet(f"{root}/{name}")
+        .partitionBy(DAY)
+        .parquet(f"{root}/{name}/{BATCH}={int(batch_id)}")
     )
 
 
 def scan_versions(
-    spark: SparkSession, root: str, name: str, schema: str, where: Column | None = None
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: str,
+    where: Column | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
-    """All versions of a table, or those of the days that ``where`` selects.
+    """All versions of a table, or those of the days that ``where`` selects or ``days`` lists.
 
-    A table that was never written is empty.
+    ``days`` is a frame with the column ``part_day``: at most one row for each day of the
+    calendar, so that it is small whatever the data, and prunes the folders at run time. A table
+    that was never written is empty.
     """
     full = f"{schema}, {DAY} string, {BATCH} bigint"
     try:
@@ -104,6 +129,8 @@ def scan_versions(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], full)
+    if days is not None:
+        rows = rows.join(F.broadcast(days.select(DAY).distinct()), DAY, "left_semi")
     return rows if where is None else rows.where(where)
 
 
@@ -114,14 +141,21 @@ def scan_latest(
     keys: Sequence[str],
     schema: str,
     where: Column | None = None,
+    days: DataFrame | None = None,
+    among: Among | None = None,
 ) -> DataFrame:
     """Current rows, with the batch that wrote them.
 
+    ``among`` keeps the rows of some keys before versions are compared, so that nothing else is
+    shuffled; like ``where`` it relies on a repeat keeping that column.
+
     The newest batch per key comes from two narrow columns; rows are then kept by key and batch.
     A pair of those has one row, so many versions of one key do not meet in a task, and columns
     nobody asks for are not read.
     """
-    versions = scan_versions(spark, root, name, schema, where).drop(DAY)
+    versions = scan_versions(spark, root, name, schema, where, days).drop(DAY)
+    if among is not None:
+        versions = versions.join(among.rows, among.key, "left_semi")
     newest = versions.groupBy(*keys).agg(F.max(BATCH).alias(BATCH))
     return versions.join(newest, [*keys, BATCH], "left_semi")
 
@@ -132,6 +166,8 @@ def load_table(
     name: str,
     where: Column | None = None,
     as_view: bool = False,
+    days: DataFrame | None = None,
+    among: Among | None = None,
 ) -> DataFrame:
     """Current rows of a stored table.
 
@@ -139,7 +175,7 @@ def load_table(
     message that comes again keeping its trip and time; without it every day is read.
     """
     layout = layouts()[name]
-    rows = scan_latest(spark, root, name, layout.keys, layout.schema, where).drop(BATCH)
+    rows = scan_latest(spark, root, name, layout.keys, layout.schema, where, days, among).drop(BATCH)
     if as_view:
         rows.createOrReplaceTempView(name)
     return rows
@@ -156,6 +192,6 @@ def compact(spark: SparkSession, root: str, name: str, target_root: str) -> None
         rows.withColumn(DAY, layout.day)
         .repartitionByRange(F.col(DAY), F.col(layout.keys[0]))
         .write.mode("overwrite")
-        .partitionBy(DAY, BATCH)
+        .partitionBy(BATCH, DAY)
         .parquet(f"{target_root}/{name}")
     )

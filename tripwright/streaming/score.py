@@ -40,6 +40,7 @@ from tripwright.schemas import SCORE_KEY
 from tripwright.sources.tables import (
     BATCH,
     DAY,
+    Among,
     day_of_trip,
     load_table,
     scan_latest,
@@ -50,7 +51,6 @@ from tripwright.streaming.sinks import write_progress
 
 SINGLE = "score"
 MULTI = "score_multi"
-MAX_LISTED_DAYS = 400
 
 
 def batch_trips(batch: DataFrame) -> DataFrame:
@@ -58,14 +58,9 @@ def batch_trips(batch: DataFrame) -> DataFrame:
     return latest_trips(trip_rows(parse_trips(batch, SCORE_KEY)).where("trip_id IS NOT NULL"))
 
 
-def days_of_trips(trips: DataFrame) -> Column:
+def days_of_trips(trips: DataFrame) -> DataFrame:
     """Day folders that hold the samples of these trips by trip id."""
-    days = [
-        r[0]
-        for r in trips.select(day_of_trip().alias("d")).distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    ]
-    # Too many to list: then every folder is read.
-    return F.col(DAY).isin(days) if len(days) <= MAX_LISTED_DAYS else F.lit(True)
+    return trips.select(day_of_trip().alias(DAY)).distinct()
 
 
 def days_of_ranges(trips: DataFrame) -> Column:
@@ -86,10 +81,9 @@ def kept(frame: DataFrame) -> Iterator[DataFrame]:
         frame.unpersist()
 
 
-def only(rows: DataFrame, trips: DataFrame, key: str, size: int) -> DataFrame:
-    """Rows whose key occurs among the batch's trips."""
-    keys = trips.select(key).distinct()
-    return rows.join(broadcast_if_small(keys, size), key, "left_semi")
+def only(trips: DataFrame, key: str, size: int) -> Among:
+    """The rows whose key occurs among the batch's trips."""
+    return Among(broadcast_if_small(trips.select(key).distinct(), size), key)
 
 
 def score_batch(
@@ -106,9 +100,10 @@ def score_batch(
         size = trips.count()
         if size:
             days = days_of_trips(trips)
-            stored = load_table(spark, root, "sf_microtrip", days)
-            events = only(load_table(spark, root, "sf_event", days), trips, "trip_id", size)
-            with kept(only(stored, trips, "trip_id", size)) as microtrips:
+            own = only(trips, "trip_id", size)
+            events = load_table(spark, root, "sf_event", days=days, among=own)
+            stored = load_table(spark, root, "sf_microtrip", days=days, among=own)
+            with kept(stored) as microtrips:
                 heavy = heavy_tracks(microtrips, "trip_id")
                 samples = stored_samples(microtrips)
                 result = trip_result(
@@ -142,12 +137,12 @@ def score_multi_batch(
             write_versions(own, target, "scored_trip", batch_id, day_of_trip())
             trips = own
             if by == "vehicle_id":
-                trips = only(current_trips(spark, target, own.schema), own, "vehicle_id", size)
+                known = only(own, "vehicle_id", size)
+                trips = current_trips(spark, target, own.schema, known)
             days = days_of_ranges(trips)
-            microtrips = load_table(spark, root, "microtrip_by_vehicle", days)
-            microtrips = only(microtrips, own, "vehicle_id", size)
-            events = load_table(spark, root, "event_by_vehicle", days)
-            events = only(events, own, "vehicle_id", size)
+            vehicles = only(own, "vehicle_id", size)
+            microtrips = load_table(spark, root, "microtrip_by_vehicle", days, among=vehicles)
+            events = load_table(spark, root, "event_by_vehicle", days, among=vehicles)
             levels = grid_levels(trips, "start_ts", "end_ts")
             heavy = heavy_tracks(microtrips, "vehicle_id")
             found = matched_events(trips, events, levels=levels)
@@ -162,9 +157,11 @@ def score_multi_batch(
     write_progress(spark, target, MULTI, batch_id, started)
 
 
-def current_trips(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+def current_trips(
+    spark: SparkSession, target: str, schema: StructType, among: Among | None = None
+) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return scan_latest(spark, target, "scored_trip", ["trip_id"], ddl).drop(BATCH)
+    return scan_latest(spark, target, "scored_trip", ["trip_id"], ddl, among=among).drop(BATCH)
 
 
 def current_results(spark: SparkSession, target: str, name: str, key: str) -> DataFrame:
