@@ -30,8 +30,10 @@ from tripwright.llm.common import NULL_ID, bounded_batches, input_bytes, sha256_
 from tripwright.llm.words import least_places
 
 #: Text bytes of one group, and of one stretch that is worked on at once.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 8 << 20
 STRETCH = 1 << 20
+#: Contexts that a bucket hands to ``resolve`` at once, which bounds what it holds; one anchor stays whole.
+RESOLVED_AT_ONCE = 2_000
 
 
 @dataclass(frozen=True)
@@ -234,6 +236,12 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
             by_key.setdefault(c.key, []).append(place)
         masks = [0] * len(every)
         rest: list[int] = []
+
+        def resolve() -> None:
+            for p, mask in zip(rest, kind.resolve([every[p] for p in rest]), strict=True):
+                masks[p] = mask
+            rest.clear()
+
         for places in by_key.values():
             one = every[places[0]]
             if all(every[p].units == one.units and every[p].anchor == one.anchor for p in places):
@@ -242,9 +250,10 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
                     masks[p] = (1 << every[p].windows) - 1 if every[p].least > least else 0
             else:
                 rest += places
+                if len(rest) >= RESOLVED_AT_ONCE:  # anchors are independent of each other
+                    resolve()
         if rest:
-            for p, mask in zip(rest, kind.resolve([every[p] for p in rest]), strict=True):
-                masks[p] = mask
+            resolve()
         out, at = [], 0
         for row in rows:
             out.append(np.array(masks[at : at + len(row)], np.uint64).tobytes())

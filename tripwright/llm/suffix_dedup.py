@@ -66,8 +66,8 @@ class Suffixes:
         """Extensions confirmed by the bytes; the first difference counts where hashes collided."""
         out = length.copy()
         steps = np.arange(self.length)
-        for at in range(0, len(a), 50_000):
-            some = slice(at, at + 50_000)
+        for at in range(0, len(a), 10_000):
+            some = slice(at, at + 10_000)
             differ = (self.data[a[some, None] + steps] != self.data[b[some, None] + steps]) & (steps < length[some, None])
             bad = differ.any(1)
             out[some] = np.where(bad, differ.argmax(1), length[some])
