@@ -4,7 +4,7 @@ import json
 
 from tripwright.operators.messages import to_score
 from tripwright.plans import fixtures as fx
-from tripwright.plans import score
+from tripwright.plans import products, score
 from tripwright.sources.streams import drop_resent, file_messages
 from tripwright.streaming import ingest
 from tripwright.streaming import score as app
@@ -63,6 +63,11 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     single = app.current_results(spark, f"{base}/gold", "trip_stat", "trip_id")
     expected = score.trip_score(trips, microtrips, events)
     assert rows_of(single.select(*expected.columns)) == rows_of(expected)
+    scores = app.current_scores(spark, f"{base}/gold")
+    wanted = products.trip_norms(expected)
+    assert rows_of(scores.select(*wanted.columns)) == rows_of(wanted)
+    by_vehicle = app.current_vehicle_scores(spark, f"{base}/gold")
+    assert by_vehicle.agg({"cnt": "sum"}).first()[0] == wanted.count()
     multi = app.current_results(spark, f"{base}/gold", "ms_trip_stat", "trip_id")
     expected = score.multi_trip_score(trips, microtrips, events, by="trip_id")
     assert rows_of(multi.select(*expected.columns)) == rows_of(expected)

@@ -142,17 +142,18 @@ def over_limit(
     moves: DataFrame,
     roads: DataFrame,
     spread: list[str],
-    cell: float = 0.01,
+    cell: float = 0.0005,
     limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Moves that end on a road and are faster than its limit.
 
     ``roads(road_id, rank, max_speed_mh, min_lon, max_lon, min_lat, max_lat)`` are boxes, the
     upper edges not included. Roads and moves meet in cells of a map grid. A long road goes to
-    a coarser grid, so that no road covers many cells.
+    a coarser grid, so that no road covers many cells. The finest cells are about 50 m wide, so
+    that the short roads of a town don't share one.
     """
     levels = F.lit(0)
-    for level in range(1, 5):
+    for level in range(1, 6):
         finer = cell * 16 ** (level - 1)
         covered = (
             (F.floor(F.col("max_lon") / finer) - F.floor(F.col("min_lon") / finer) + 1)

@@ -64,12 +64,10 @@ def route_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _parsed(messages: DataFrame, key: str, schema: str) -> DataFrame:
+    # Through a generator, as a later filter on a parsed field would otherwise be pushed below the
+    # parse and repeat it.
     kept = [c for c in messages.columns if c not in ("key", "value")]
-    return (
-        with_key(messages, key)
-        .select(*kept, F.from_json("value", schema).alias("value"))
-        .select(*kept, "value.*")
-    )
+    return with_key(messages, key).select(*kept, F.inline(F.array(F.from_json("value", schema))))
 
 
 def parse_microtrips(messages: DataFrame) -> DataFrame:

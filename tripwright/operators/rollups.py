@@ -50,7 +50,7 @@ def track_facts(
 def trip_rollup(
     samples: DataFrame,
     key: str = "trip_id",
-    firsts: Sequence[str] = ("vehicle_id", "device_type", "sensor_id"),
+    firsts: Sequence[str] = ("vehicle_id", "user_id", "company_id", "sensor_id", "device_type"),
     tie: Sequence[str] = TIE,
 ) -> DataFrame:
     """Sample count and time span per trip; ``firsts`` are those of the earliest sample.
@@ -76,7 +76,7 @@ def trip_rollup(
 
 def vehicle_rollup(
     samples: DataFrame,
-    firsts: Sequence[str] = ("trip_id", "device_type", "sensor_id"),
+    firsts: Sequence[str] = ("trip_id", "user_id", "company_id", "sensor_id", "device_type"),
     tie: Sequence[str] = TIE,
 ) -> DataFrame:
     """The same per vehicle; the trip is that of the earliest sample."""

@@ -40,7 +40,7 @@ fx_events AS (
          (event_id // 7) % 6 AS shape,
          (126000 + event_id % 1000) / 1000.0::DOUBLE AS elon,
          (37000 + event_id % 1000) / 1000.0::DOUBLE AS elat
-  FROM fx_points WHERE event_type = 'error' AND event_id % 7 = 0)"""
+  FROM fx_points)"""
 
 FX_ROADS = """
 fx_roads AS (

@@ -436,6 +436,8 @@ def max_timeuuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql(
         """SELECT trip_id, count(*) AS mtrip_cnt, min(time) AS first_time, max(time) AS last_time,
         arg_min(vehicle_id, (time, sample_id)) AS vehicle_id,
+        arg_min(user_id, (time, sample_id)) AS user_id,
+        arg_min(company_id, (time, sample_id)) AS company_id,
         arg_min(device_type, (time, sample_id)) AS device_type,
         arg_min(sensor_id, (time, sample_id)) AS sensor_id FROM fx_points GROUP BY trip_id""",
         FX_POINTS,
@@ -449,6 +451,8 @@ def trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql(
         """SELECT vehicle_id, count(*) AS mtrip_cnt, min(time) AS first_time, max(time) AS last_time,
         arg_min(trip_id, (time, sample_id)) AS trip_id,
+        arg_min(user_id, (time, sample_id)) AS user_id,
+        arg_min(company_id, (time, sample_id)) AS company_id,
         arg_min(device_type, (time, sample_id)) AS device_type,
         arg_min(sensor_id, (time, sample_id)) AS sensor_id FROM fx_points GROUP BY vehicle_id""",
         FX_POINTS,

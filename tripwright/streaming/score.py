@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tripwright.functions.ids import millis_date
+from tripwright.functions.ids import millis_date, uuid_millis
 from tripwright.operators.devices import base_device_trips
 from tripwright.operators.joins import grid_levels
 from tripwright.operators.messages import parse_trips, trip_rows
 from tripwright.operators.skew import broadcast_if_small
+from tripwright.plans.products import trip_norms, vehicle_scores
 from tripwright.plans.score import (
     EVENT_SCHEMA,
     RESULT_SCHEMA,
@@ -47,8 +48,14 @@ from tripwright.sources.tables import (
     scan_versions,
     write_versions,
 )
+from tripwright.sources.streams import drop_resent
 from tripwright.streaming.sinks import write_progress
 
+SCORE_SCHEMA = (
+    "vehicle_id string, user_id string, trip_id string, dist bigint, accel bigint, deaccel bigint, "
+    "overlimit bigint, norm_dist double, norm_accel double, norm_deaccel double, "
+    "norm_overlimit double, score double"
+)
 SINGLE = "score"
 MULTI = "score_multi"
 
@@ -109,7 +116,10 @@ def score_batch(
                 result = trip_result(
                     trips, samples, events, zone=zone, heavy=heavy, roads=roads
                 )
-                write_versions(result, target, "trip_stat", batch_id, day_of_trip())
+                with kept(result) as result:
+                    write_versions(result, target, "trip_stat", batch_id, day_of_trip())
+                    scores = trip_norms(result)
+                    write_versions(scores, target, "trip_score", batch_id, day_of_trip())
                 rows = score_events(trips, samples, roads, heavy=heavy)
                 write_versions(rows, target, "gps_event", batch_id, day_of_trip())
     write_progress(spark, target, SINGLE, batch_id, started)
@@ -169,6 +179,16 @@ def current_results(spark: SparkSession, target: str, name: str, key: str) -> Da
     return scan_latest(spark, target, name, [key], RESULT_SCHEMA)
 
 
+def current_scores(spark: SparkSession, target: str) -> DataFrame:
+    """Latest score row per trip."""
+    return scan_latest(spark, target, "trip_score", ["trip_id"], SCORE_SCHEMA)
+
+
+def current_vehicle_scores(spark: SparkSession, target: str) -> DataFrame:
+    """Score per vehicle and user; ``ts`` is the time inside the id of the latest trip."""
+    return vehicle_scores(current_scores(spark, target), uuid_millis(F.col("trip_id")))
+
+
 def current_events(
     spark: SparkSession, target: str, name: str, results: str, key: str = "trip_id"
 ) -> DataFrame:
@@ -186,6 +206,9 @@ def _start(
     trigger: dict[str, object] | None,
     run: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
+    """Messages with the broker's time lose those that were sent again shortly after."""
+    if "timestamp" in messages.columns:
+        messages = drop_resent(messages)
     return (
         messages.writeStream.queryName(name)
         .outputMode("update")
