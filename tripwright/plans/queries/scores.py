@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions import text
@@ -10,6 +10,7 @@ from tripwright.operators.stats import event_stats, sample_counters
 from tripwright.plans import fixtures as fx
 from tripwright.plans import products, score
 from tripwright.plans.oracle import (
+    CODE,
     ELEMENTS,
     FX_EVENTS,
     FX_POINTS,
@@ -204,35 +205,79 @@ def text_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("trip_id", text.texts_json(TEXTS).alias("json"))
 
 
+SCORE_EVENT_ROWS = f"""
+score_rows AS (
+  SELECT 'v' || t.vehicle_id AS vehicle_id, t.user_id, m.trip_id, lon AS pos_lon, lat AS pos_lat,
+         time AS event_ts, ({CODE})::BIGINT AS event_type, speed_mh, '' AS info, t.device_type,
+         0::BIGINT AS created_time,
+         sha256(m.trip_id || '|' || time || '|' || event || '|' || micro_trip_id || '#' || pos) AS id,
+         'check_event' AS source
+  FROM (SELECT *, {TAXI} AS event FROM moves) m JOIN fx_trips t ON t.trip_id = m.trip_id
+  WHERE event IS NOT NULL AND t.device_type IN ('GPS', 'BLACKBOX')
+  UNION ALL
+  SELECT 'v' || t.vehicle_id, t.user_id, m.trip_id, lon, lat, time, 5, speed_mh,
+         '{{"id":"' || road_id || '","maxSpd":' || max_speed_mh || ',"rank":' || rank || '}}',
+         t.device_type, 0,
+         sha256(m.trip_id || '|' || time || '|overlimit|' || micro_trip_id || '#' || pos || '#' || road_id),
+         'check_over_limit'
+  FROM moves m JOIN fx_roads ON lon >= min_lon AND lon < max_lon AND lat >= min_lat
+   AND lat < max_lat AND speed_mh > max_speed_mh JOIN fx_trips t ON t.trip_id = m.trip_id)"""
+
+
+def _score_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips, microtrips, _ = _inputs(spark, sf_dir)
+    return score.score_events(
+        trips,
+        score.stored_samples(microtrips),
+        fx.roads(spark, sf_dir),
+        heavy=score.heavy_tracks(microtrips, "trip_id"),
+    )
+
+
+@query(
+    sql(
+        "SELECT * FROM score_rows",
+        FX_POINTS,
+        FX_TRIPS,
+        FX_ROADS,
+        SAMPLES,
+        moves("samples", tie="micro_trip_id, pos"),
+        SCORE_EVENT_ROWS,
+    )
+)
+def score_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds of events of the scored trips, from the messages, with all their columns."""
+    rows = _score_event_rows(spark, sf_dir)
+    return rows.withColumn("event_type", F.col("event_type").cast("bigint"))
+
+
 @query(
     sql(
         f"""SELECT trip_id, count(*) FILTER (source = 'check_event') AS check_event,
-        count(*) FILTER (source = 'check_over_limit') AS check_over_limit FROM (
-          SELECT m.trip_id, 'check_event' AS source FROM (SELECT *, {TAXI} AS event FROM moves) m
-          WHERE event IS NOT NULL AND device_type IN ('GPS', 'BLACKBOX')
-          UNION ALL
-          SELECT m.trip_id, 'check_over_limit' FROM moves m JOIN fx_roads ON lon >= min_lon
-           AND lon < max_lon AND lat >= min_lat AND lat < max_lat AND speed_mh > max_speed_mh)
-        GROUP BY trip_id""",
+        count(*) FILTER (source = 'check_over_limit') AS check_over_limit,
+        coalesce(string_agg(id, ',' ORDER BY id) FILTER (source = 'check_event'), '') AS event_ids,
+        coalesce(string_agg(id, ',' ORDER BY id) FILTER (source = 'check_over_limit'), '') AS limit_ids
+        FROM score_rows GROUP BY trip_id""",
         FX_POINTS,
+        FX_TRIPS,
         FX_ROADS,
         SAMPLES,
         moves("samples", tie="micro_trip_id, pos"),
+        SCORE_EVENT_ROWS,
     )
 )
 def trip_event_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of both event lists per trip, from the nested result."""
-    trips, microtrips, _ = _inputs(spark, sf_dir)
-    rows = score.score_events(
-        trips,
-        score.stored_samples(microtrips),
-        fx.roads(spark, sf_dir),
-        heavy=score.heavy_tracks(microtrips, "trip_id"),
-    )
-    return score.nested_events(rows).select(
+    """Sizes and ids of both event lists per trip, from the nested result."""
+
+    def ids(column: str) -> Column:
+        return F.array_join(F.array_sort(F.transform(column, lambda e: e["id"])), ",")
+
+    return score.nested_events(_score_event_rows(spark, sf_dir)).select(
         "trip_id",
         F.size("check_event").cast("bigint").alias("check_event"),
         F.size("check_over_limit").cast("bigint").alias("check_over_limit"),
+        ids("check_event").alias("event_ids"),
+        ids("check_over_limit").alias("limit_ids"),
     )
 
 

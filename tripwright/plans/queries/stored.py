@@ -52,11 +52,13 @@ def next_partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def list_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows of the next key of the work list; the key is a frame of one row."""
-    points = fx.points(spark, sf_dir)
-    key = F.broadcast(tables.next_key(points, "trip_id", "00000002-"))
-    rows = points.join(key, F.col("trip_id") == F.col("next_key"), "left_semi")
-    return rows.select("trip_id", "event_id", "clt")
+    """All rows of the next key of the work list, from a stored table; the key is one value."""
+    root, schema = _new_root(spark), "trip_id string, event_id bigint, clt bigint"
+    rows = fx.points(spark, sf_dir).select("trip_id", "event_id", "clt")
+    write_versions(rows, root, "points", 0, F.lit(NO_DAY))
+    stored = scan_latest(spark, root, "points", ["trip_id", "event_id"], schema).drop(BATCH)
+    key = tables.next_key(stored, "trip_id", "00000002-").first()["next_key"]
+    return tables.rows_with_key(stored, "trip_id", key)
 
 
 # Ten days of writes in each.
