@@ -29,7 +29,16 @@ from tripwright.schemas import COUNTERS, TEXTS
         """SELECT t.trip_id, 'v' || t.vehicle_id AS vehicle_id, user_id, sensor_id, company_id,
         start_ts, 'dt' || start_ts AS start_dt, end_ts, 'dt' || end_ts AS end_dt, t.device_type,
         (start_ts + 3376)::VARCHAR AS trip_created_time, n::VARCHAR AS updated, 'trip' AS msg_type,
-        micro_trip_id, pos::BIGINT AS pos, ts AS mtrip_ts, clt, lon, lat
+        micro_trip_id, pos::BIGINT AS pos, ts AS mtrip_ts, clt, lon, lat,
+        (ts + 500)::VARCHAR AS mtrip_created_time, '2018-06-' || (event_id % 20 + 10) AS mtrip_date,
+        CASE trip_no % 5 WHEN 2 THEN '' WHEN 3 THEN NULL
+          ELSE '{"tid":' || trip_no % 1000 || ',"dis":' || n * 10 || CASE trip_no % 5
+            WHEN 0 THEN ',"stlat":37.5,"stlon":126.9,"edlat":37.25,"edlon":126.75'
+            WHEN 1 THEN ',"stlat":37.5,"stlon":126.9,"endlat":37.125,"endlon":126.5'
+            ELSE '' END || '}' END AS trip_payload_str,
+        CASE WHEN t.device_type = 'OBD' THEN 'BLACKBOX,OBD' WHEN t.device_type = 'ADAS' THEN 'ADAS'
+          WHEN t.device_type = 'GPS' THEN if(trip_no % 2 = 1, 'GPS,ADAS', 'BLACKBOX,GPS')
+          ELSE if(trip_no % 2 = 1, 'OTHER', 'BLACKBOX') END AS latest_devices
         FROM fx_trips t JOIN samples s ON s.trip_id = t.trip_id""",
         FX_POINTS,
         FX_TRIPS,
@@ -38,7 +47,8 @@ from tripwright.schemas import COUNTERS, TEXTS
 )
 def join_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = fx.stored_microtrips(spark, sf_dir)
-    samples = score.stored_samples(stored)
+    more = [F.col("created_time").alias("mtrip_created_time"), F.col("date").alias("mtrip_date")]
+    samples = score.stored_samples(stored, more)
     joined = joins.join_samples(fx.scored_trips(spark, sf_dir), samples, score.SAMPLE_TIE)
     return joined.select(
         "trip_id",
@@ -60,6 +70,12 @@ def join_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "clt",
         "lon",
         "lat",
+        "mtrip_created_time",
+        "mtrip_date",
+        "trip_payload_str",
+        F.array_join(F.transform("latest_trip", lambda d: d["deviceType"]), ",").alias(
+            "latest_devices"
+        ),
     )
 
 

@@ -66,9 +66,9 @@ def latest_trips(trips: DataFrame) -> DataFrame:
     return latest_per_key(created, ["trip_id"], version).drop("_created")
 
 
-def stored_samples(microtrips: DataFrame) -> DataFrame:
-    """Samples of stored micro-trips with their usable ``time``."""
-    narrow = microtrips.select("trip_id", "micro_trip_id", "ts", "payload")
+def stored_samples(microtrips: DataFrame, extra: Sequence[str | Column] = ()) -> DataFrame:
+    """Samples of stored micro-trips with their usable ``time`` and ``extra`` columns."""
+    narrow = microtrips.select("trip_id", "micro_trip_id", "ts", "payload", *extra)
     narrow = narrow.where(F.col("trip_id").isNotNull())
     return explode_samples(narrow).withColumn("time", sample_time())
 
