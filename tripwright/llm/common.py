@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch. Texts can be long, so that the default of 10,000 rows is too many.
-BATCH_ROWS = 4_000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2_000
+BATCH_BYTES = 4 << 20
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Place of a row whose id is null: before all others.
 NULL_ID = -(1 << 63)
@@ -55,10 +57,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str, *sort: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, which cuts the lineage and keeps the work done."""
+    """Write a table to the shared folder and read it back, which cuts the lineage and keeps the work done.
+
+    The shuffle files behind it are let go as soon as it is written; nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,6 +39,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Shingles of one block of a cluster.
 BLOCK_SHINGLES = 1_000_000
+#: Bytes of text that are hashed at once.
+STRETCH = 1 << 20
 
 
 @lru_cache(maxsize=8)
@@ -73,8 +75,18 @@ def signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def sets_of(column: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
-    """Sorted different shingle hashes of each text."""
+    """Sorted different shingle hashes of each text, worked out over a bounded stretch of texts at a time."""
     data, offsets = text_bytes(column)
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + STRETCH, "right")) - 1)
+        out += sets_of_stretch(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], shingle)
+        at = to
+    return out
+
+
+def sets_of_stretch(data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
     starts, ends, first = word_places(data, offsets)
     words = word_hashes(data, starts, ends, lower=True)
     runs = run_hashes(words, shingle)

@@ -35,7 +35,7 @@ from tripwright.llm.common import bounded_batches, checkpointed, partitions, tex
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
 SEQUENCE = 4096
 SEPARATOR = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 CACHE_LENGTH = 48
 
 
