@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -186,8 +187,9 @@ class PairIndexBpe:
         for words, ids, at in zip(pieces, found, gaps, strict=True):
             for k in at:
                 ids[k] = learned[words[k]]
-        if len(known) < CACHE_WORDS:  # the common words come early
-            known.update((w, x) for w, x in learned.items() if len(w) <= CACHE_LENGTH)
+        room = CACHE_WORDS - len(known)
+        if room > 0:  # the common words come early
+            known.update(islice(((w, x) for w, x in learned.items() if len(w) <= CACHE_LENGTH), room))
         return [b"".join(ids) for ids in found]
 
     def decode(self, ids: bytes) -> str:

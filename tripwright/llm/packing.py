@@ -21,7 +21,8 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from tripwright.llm.common import bounded_batches, checkpointed, partitions, tex
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
 SEQUENCE = 4096
 SEPARATOR = 2
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 CACHE_LENGTH = 48
 
 
@@ -48,16 +49,22 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         self.bpe = PairIndexBpe(path)
         self.cache: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self) -> object:
+        """The library's tokenizer, loaded when a word first asks for it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def by_library(self, words: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(encoded.ids, "<u4").tobytes()
@@ -71,9 +78,8 @@ class WordIds:
         new = list(set().union(*cut) - parts.keys())
         parts.update(zip(new, self.bpe.encode_words([x.encode() for x in new]), strict=True))
         out = {w: b"".join([parts[x] for x in some]) if len(some) != 1 else parts[some[0]] for w, some in zip(words, cut, strict=True)}
-        if len(parts) > CACHE_WORDS:
-            for x in new:
-                del parts[x]
+        for x in new[max(0, len(new) - max(0, len(parts) - CACHE_WORDS)) :]:
+            del parts[x]
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -94,8 +100,9 @@ class WordIds:
             b"".join([learned[w] if x is None else x for w, x in zip(words, ids, strict=True)]) if None in ids else b"".join(ids)
             for words, ids in zip(pieces, found, strict=True)
         ]
-        if len(known) < CACHE_WORDS:  # the common words come early
-            known.update((w, x) for w, x in learned.items() if len(w) <= CACHE_LENGTH)
+        room = CACHE_WORDS - len(known)
+        if room > 0:  # the common words come early
+            known.update(islice(((w, x) for w, x in learned.items() if len(w) <= CACHE_LENGTH), room))
         return out
 
 
