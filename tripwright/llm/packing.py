@@ -36,7 +36,9 @@ from tripwright.llm.common import bounded_batches, checkpointed, partitions, tex
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
 SEQUENCE = 4096
 SEPARATOR = 2
-CACHE_WORDS = 120_000
+#: Words kept per worker, as they stand and as their parts; a part that is not known costs more than a word.
+CACHE_WORDS = 150_000
+CACHE_PARTS = 400_000
 CACHE_LENGTH = 48
 
 
@@ -78,7 +80,7 @@ class WordIds:
         new = list(set().union(*cut) - parts.keys())
         parts.update(zip(new, self.bpe.encode_words([x.encode() for x in new]), strict=True))
         out = {w: b"".join([parts[x] for x in some]) if len(some) != 1 else parts[some[0]] for w, some in zip(words, cut, strict=True)}
-        for x in new[max(0, len(new) - max(0, len(parts) - CACHE_WORDS)) :]:
+        for x in new[max(0, len(new) - max(0, len(parts) - CACHE_PARTS)) :]:
             del parts[x]
         return out
 
