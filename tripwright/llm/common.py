@@ -66,7 +66,7 @@ def written(df: DataFrame, name: str, *sort: str) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
+        (df.sortWithinPartitions(*sort) if sort else df).write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -26,7 +26,7 @@ from tripwright.llm.shared_windows import Context, WindowKind, shared_windows
 from tripwright.llm.words import run_hashes, word_hashes, word_places
 
 LENGTH = 13
-GRAM = 5
+GRAM = 7
 
 
 def word_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:

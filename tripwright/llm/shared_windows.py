@@ -18,7 +18,7 @@ compared by hash, contexts by their units, so that equal hashes alone remove not
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,6 +121,17 @@ def binary(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return column.to_pylist()
 
 
+def packed(parts: Iterable[bytes]) -> bytes:
+    """Contexts of one bucket overlap and share words, so that they are packed before they are shuffled."""
+    return pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, sizes: list[int]) -> list[bytes]:
+    whole = pa.decompress(data, decompressed_size=sum(sizes), codec="zstd", asbytes=True)
+    ends = np.cumsum(sizes).tolist()
+    return [whole[b - n : b] for n, b in zip(sizes, ends, strict=True)]
+
+
 def concatenated(column: pa.ChunkedArray) -> pa.Array:
     """One array of a column of strings, with long offsets."""
     column = column.cast(pa.large_string())
@@ -216,19 +227,20 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
                 "runs": pa.array([*(np.array(r, np.int32).tobytes() if r else None for r in runs_by_doc), *nothing], pa.binary()),
                 "bucket": pa.array([*[None] * rows, *found], pa.int32()),
                 "key": pa.array([*[None] * rows, *([c.key - (1 << 63) for c in x] for x in lists)], pa.list_(pa.int64())),
-                "content": pa.array([*[None] * rows, *([c.units for c in x] for x in lists)], pa.list_(pa.binary())),
+                "content": pa.array([*[None] * rows, *(packed(c.units for c in x) for x in lists)], pa.binary()),
+                "sizes": pa.array([*[None] * rows, *([len(c.units) for c in x] for x in lists)], pa.list_(pa.int32())),
                 "least": pa.array([*[None] * rows, *([c.least for c in x] for x in lists)], pa.list_(pa.int64())),
                 "shape": pa.array([*[None] * rows, *([c.windows << 16 | c.anchor for c in x] for x in lists)], pa.list_(pa.int32())),
             }
         )
 
-    schema = "grp int, id long, n_units long, whole string, text string, runs binary, bucket int, key array<long>, content array<binary>, least array<long>, shape array<int>"
+    schema = "grp int, id long, n_units long, whole string, text string, runs binary, bucket int, key array<long>, content binary, sizes array<int>, least array<long>, shape array<int>"
     both = written(texts.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(contexts, schema), "contexts")
 
     def decided(table: pa.Table) -> pa.Table:
         rows = [
-            [Context(k + (1 << 63), u, i, s >> 16, s & 0xFFFF) for k, u, i, s in zip(*lists, strict=True)]
-            for lists in zip(*(table.column(c).to_pylist() for c in ("key", "content", "least", "shape")), strict=True)
+            [Context(k + (1 << 63), u, i, s >> 16, s & 0xFFFF) for k, u, i, s in zip(key, unpacked(content, sizes), least, shape, strict=True)]
+            for key, content, sizes, least, shape in zip(*(table.column(c).to_pylist() for c in ("key", "content", "sizes", "least", "shape")), strict=True)
         ]
         every = [c for row in rows for c in row]
         by_key: dict[int, list[int]] = {}
@@ -260,7 +272,7 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
             at += len(row)
         return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "masks": pa.array(out, pa.binary())})
 
-    sent = both.where("id is null").select("grp", "bucket", "key", "content", "least", "shape")
+    sent = both.where("id is null").select("grp", "bucket", "key", "content", "sizes", "least", "shape")
     told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, masks binary")
 
     def applied(left: pa.Table, right: pa.Table) -> pa.Table:
