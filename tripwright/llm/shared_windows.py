@@ -109,6 +109,13 @@ def short(keys: np.ndarray) -> np.ndarray:
     return (keys & np.uint64(0xFFFFFFFE)).astype(np.uint32)
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values occur in a sorted array; it is searched and not sorted again for each call."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def in_buckets(buckets: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
     """Buckets that occur, with the places of their items."""
     order = np.argsort(buckets, kind="stable")
@@ -176,8 +183,8 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
         # several bits of one key are of one or two kinds; a key of several groups or documents is shared
         alone, several = every & np.uint32(0xFFFFFFFE), (every & np.uint32(1)) > 0
         values, counts = np.unique(alone, return_counts=True)
-        keep = values[(counts > 1) | np.isin(values, alone[several])]
-        answers = [a[np.isin(a, keep)] for a in (x & np.uint32(0xFFFFFFFE) for x in sent)]
+        keep = values[(counts > 1) | among(values, np.unique(alone[several]))]
+        answers = [a[among(a, keep)] for a in (x & np.uint32(0xFFFFFFFE) for x in sent)]
         return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "anchors": pa.array([a.tobytes() for a in answers], pa.binary())})
 
     first = texts.groupBy("grp").applyInArrow(anchors, "bucket int, grp int, anchors binary")
@@ -198,8 +205,7 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
             units[at : at + len(first_unit) - 1] = np.diff(first_unit)
             bucket = bucket_of(runs.key, buckets)
             full = (bucket.astype(np.uint64) << np.uint64(32)) | short(runs.key).astype(np.uint64)
-            place = np.searchsorted(known, full)
-            hit = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == full) if len(known) else []
+            hit = np.flatnonzero(among(full, known))
             for r in hit:
                 doc, start, windows = int(runs.doc[r]), int(runs.start[r]), int(runs.windows[r])
                 key, own = int(runs.key[r]), int(ids[at + doc])
