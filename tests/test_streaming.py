@@ -129,6 +129,22 @@ def test_resent_trips_and_late_samples(spark, tmp_path):
     assert events.count() == len({r.id for r in events.collect()})
 
 
+def test_messages_behind_the_broker_time_reach_their_batch(spark, tmp_path):
+    """A lagging partition: first arrivals ten minutes behind what came before."""
+    times = ("10:10:00", "10:00:00", "10:20:00", "10:10:01")
+    for n, at in enumerate(times):
+        frame = spark.createDataFrame([(f"2024-01-01 {at}", "k", str(n))], f"timestamp string, {KV}")
+        rows = frame.withColumn("timestamp", frame.timestamp.cast("timestamp"))
+        send(spark, f"{tmp_path}/score", rows, f"p{n}")
+        stream = file_messages(spark, f"{tmp_path}/score/*", timestamp=True, files_per_batch=1)
+        seen = []
+        query = app._start(
+            stream, "late", f"{tmp_path}/cp", NOW, lambda batch, _, seen=seen: seen.extend(batch.collect())
+        )
+        assert query.awaitTermination(100)
+        assert [r.value for r in seen] == [str(n)]
+
+
 def test_vehicle_result_covers_earlier_trips(spark, tmp_path):
     base = str(tmp_path)
     later = "b88e7700-6863-11e8-96b3-bf7af28e956c"

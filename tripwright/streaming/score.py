@@ -48,7 +48,6 @@ from tripwright.sources.tables import (
     scan_versions,
     write_versions,
 )
-from tripwright.sources.streams import drop_resent
 from tripwright.streaming.sinks import write_progress
 
 SCORE_SCHEMA = (
@@ -206,9 +205,7 @@ def _start(
     trigger: dict[str, object] | None,
     run: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
-    """Messages with the broker's time lose those that were sent again shortly after."""
-    if "timestamp" in messages.columns:
-        messages = drop_resent(messages)
+    """Every message reaches its batch, however late: a trip sent again is taken once there."""
     return (
         messages.writeStream.queryName(name)
         .outputMode("update")
