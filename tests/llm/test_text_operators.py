@@ -156,6 +156,24 @@ def test_secrets_link_parts_in_scope():
     assert secrets.redacted("") == ""
 
 
+@pytest.mark.parametrize("before", ["aws_secret_access_key=", "aws_secret_access_key = ", "?a=", "&sig=", "k==", "key: '"])
+def test_secrets_link_values_after_a_name(before):
+    access, value, place = "AKIA" + "Q" * 16, "abcdefghij" * 4, "https://api.example.com"
+    text = f"aws_access_key_id={access}\n{before}{value}\nendpoint={place}"
+    found = secrets.all_spans(text)[1]
+    assert [(k, text[a:b]) for k, a, b in found if k != "endpoint"] == [("access", access), ("linked", value)]
+    assert [text[a:b] for k, a, b in found if k == "endpoint"] == [place]
+    assert secrets.redacted(text) == f"aws_access_key_id=[SECRET]\n{before}[SECRET]\nendpoint=[SECRET]"
+    assert secrets.all_spans(f"{before}{value}")[1] == []
+
+
+def test_values_inside_other_spans_are_not_linked_again():
+    access, value = "AKIA" + "Q" * 16, "Zbcdefghij" * 4
+    text = f"{access} token={'0' * 24}={'1' * 24}={value}"
+    assert sorted(k for k, _, _ in secrets.all_spans(text)[1]) == ["access", "assign", "hex", "hex"]
+    assert [k for k, _, _ in secrets.all_spans(f"{access} k={value}=")[1]] == ["access"]
+
+
 def test_redact_keeps_rows(odd):
     out = secrets.redact(odd)
     assert out.columns == odd.columns

@@ -19,6 +19,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -37,7 +38,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run of 24 or more; shorter runs are no matches, so that nothing else has to be dropped.
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Weak parts: a value of the length and alphabet of a secret key, and an address of a service.
-VALUE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])")
+#: Padding stands after a value only, so that a value may follow ``key=``.
+VALUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?")
 #: One scan for the words that any assignment starts with decides whether the longer pattern is tried at all.
 MIN_ASSIGN, MIN_ACCESS = 6, 20
@@ -76,11 +78,11 @@ def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
     values = [("linked", *m.span()) for m in VALUE.finditer(text)]
     taken = sorted((a, b) for kind, a, b in base if kind in ("assign", "hex"))
     known = [("linked", a, b) for a, b in taken]
-    starts = [a for a, _ in taken]
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     free = []
     for value in values:  # what is reported already needs no second span
         at = bisect_left(starts, value[2])
-        if not any(b > value[1] for _, b in taken[max(0, at - 2) : at]):
+        if not at or reach[at - 1] <= value[1]:
             free.append(value)
     found = near(free, identifiers, scope)
     secrets = sorted(found + known, key=lambda s: s[1])
