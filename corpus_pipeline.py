@@ -23,6 +23,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.select(*((F.col("lang") if c == "lang" else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
+#: Near copies share four fifths of their runs of five words; op6's own query has other values.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that many documents repeat."""
     return with_length(line_dedup.drop_repeated(docs), docs.columns)
@@ -30,7 +34,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id, once; a null id is the least."""
-    least = jaccard_join.linked_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("least")).distinct()
+    near = jaccard_join.linked_components(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
+    least = near.where("doc_id <=> component_id").select(F.col("doc_id").alias("least")).distinct()
     kept = docs.join(least, docs["doc_id"].eqNullSafe(least["least"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 

@@ -1,10 +1,11 @@
 """The pipeline's stages, each on what the one before it kept."""
 
 import re
+from itertools import combinations
 
 import corpus_pipeline
 import pytest
-from test_group_operators import plain_components
+from test_group_operators import WORD, plain_components
 
 import __spark_entry__ as contract
 
@@ -34,6 +35,30 @@ def test_stages(request, spark, sf_dir, which, tmp_path):
     assert frame.count() >= len(after)
 
 
+def plain_kept(rows, shingle, percent):
+    """Ids that are the least of their near copies, by all pairs."""
+    sets = {}
+    for i, text in rows:
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))} if words else set()
+    label = {i: i for i in sets}
+    for a, b in combinations(sets, 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= percent * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if x == high else x for i, x in label.items()}
+    return {i for i, x in label.items() if i == x}
+
+
+def test_near_copies_share_four_fifths_of_runs_of_five_words(spark, docs, sf_dir):
+    text = lambda at, n: " ".join(f"other{k}" if at <= k < at + n else f"word{k}" for k in range(1000))
+    rows = [(1, text(0, 0)), (2, text(500, 60)), (3, text(400, 200))]
+    assert (plain_kept(rows, 3, 90), plain_kept(rows, 5, 80)) == ({1, 2, 3}, {1, 3})
+    for frame in (spark.createDataFrame(rows, "doc_id long, text string"), docs):
+        want = plain_kept([tuple(r) for r in frame.select("doc_id", "text").collect()], 5, 80)
+        assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame, sf_dir).collect()} == want
+
+
 def test_registered():
     names = contract.queries()
     assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10
