@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tripwright.operators import tables
+from tripwright.plans.queries.stored import upserted
 from tripwright.sources import tables as stored
 from tripwright.streaming.sinks import upsert_batch
 
@@ -100,3 +101,13 @@ def test_rekeyed_rows_are_sorted_and_complete(spark):
     rows = [("u1", "v2", 1), ("u0", "v1", 2), (None, "v0", 3), ("u0", None, 4)]
     frame = spark.createDataFrame(rows, "user_id string, vehicle_id string, x int")
     assert [r.x for r in tables.rekey(frame, "score_by_user", 1).collect()] == [2, 1]
+
+
+def test_upserts_of_any_batch_number_count(spark, tmp_path):
+    rows = [("a", -2, 9, 1.0), ("a", 0, 1, 2.0), ("b", -2, 1, 3.0), ("b", -2, 8, 4.0), ("c", 0, 5, 5.0), ("c", 7, 2, 6.0), ("c", 7, 6, 7.0)]
+    writes = spark.createDataFrame(rows, "key1 string, batch_id long, event_id long, value double")
+    got = upserted(spark, str(tmp_path), writes)
+    assert sorted(map(tuple, got.collect())) == [("a", 0, 1, 2.0), ("b", -2, 8, 4.0), ("c", 7, 6, 7.0)]
+    versions = spark.read.parquet(f"{tmp_path}/writes")
+    assert versions.select("batch_id").distinct().count() == 6 and versions.count() == 7
+    assert upserted(spark, f"{tmp_path}/none", writes.limit(0)).count() == 0

@@ -61,8 +61,8 @@ def list_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.rows_with_key(stored, "trip_id", key)
 
 
-# Ten days of writes in each.
-WRITE_BATCHES = 3
+# A batch of the oracle spans 100 days of events. Its writes come by event id, in several stored batches.
+WRITE_PARTS = 3
 WRITES = """
 writes AS (
   SELECT vehicle_id || ':' || event_type AS key1, us // 8640000000000 AS batch_id, event_id, value
@@ -86,12 +86,28 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "value",
     )
-    root, schema = _new_root(spark), "key1 string, event_id bigint, value double"
-    for n in range(WRITE_BATCHES):
-        batch = writes.where(F.col(BATCH) == n).drop(BATCH)
-        last = tables.latest_per_key(batch, ["key1"], ["event_id"])
-        write_versions(last, root, "writes", n, F.lit(NO_DAY))
-    return scan_latest(spark, root, "writes", ["key1"], schema)
+    return upserted(spark, _new_root(spark), writes)
+
+
+def upserted(spark: SparkSession, root: str, writes: DataFrame, parts: int = WRITE_PARTS) -> DataFrame:
+    """A table after the upserts of all batches that ``writes`` has, whatever their numbers.
+
+    Each batch is written in ``parts`` stored batches of consecutive event ids. A stored batch has
+    the latest of its own writes per key, so that the latest of all is for the table to find.
+    """
+    schema = "key1 string, event_id bigint, value double, write_batch bigint"
+    found = writes.groupBy(BATCH).agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+    for k, span in enumerate(found.orderBy(BATCH).collect()):
+        width = (span["high"] - span["low"]) // parts + 1
+        rows = writes.where(F.col(BATCH).eqNullSafe(span[BATCH])).withColumnRenamed(BATCH, "write_batch")
+        for n in range(parts):
+            low = span["low"] + n * width
+            batch = rows.where(F.col("event_id").between(low, low + width - 1))
+            last = tables.latest_per_key(batch, ["key1"], ["event_id"])
+            write_versions(last, root, "writes", k * parts + n, F.lit(NO_DAY))
+    return scan_latest(spark, root, "writes", ["key1"], schema).select(
+        "key1", F.col("write_batch").alias(BATCH), "event_id", "value"
+    )
 
 
 @query(
