@@ -161,6 +161,30 @@ def test_signatures_meet_for_every_link(size, less, more, seed):
         assert np.intersect1d(jaccard_join.signatures(one), jaccard_join.signatures(other)).size
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 90), st.integers(0, 90), st.integers(0, 2**32))
+def test_signatures_meet_at_four_fifths(size, less, more, seed):
+    rng = np.random.default_rng(seed)
+    draw = lambda n: rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+    one = np.unique(draw(size))
+    other = np.unique(np.concatenate([rng.permutation(one)[min(less, len(one)) :], draw(more)]))
+    if len(other) and 100 * (common := len(np.intersect1d(one, other))) >= 80 * (len(one) + len(other) - common):
+        assert np.intersect1d(jaccard_join.signatures(one, 80), jaccard_join.signatures(other, 80)).size
+
+
+@pytest.mark.parametrize("block", [1_000_000, 150])
+@pytest.mark.parametrize("shared", [9, None])
+def test_sets_of_one_id_keep_their_links(spark, shared, block):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(120))
+    near = lambda name: text(name).replace(f"{name}60 ", "other ")
+    rows = [(shared, text("a")), (shared, text("b")), (shared, text("b")), (shared, ""), (20, near("a")), (30, near("b"))]
+    rows += [(40, text("c")), (50, text("c")), (50, text("d")), (50, None), (60, near("d")), (70, None), (70, text("e")), (5, text("f"))]
+    got = jaccard_join.linked_components(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_components(rows)
+    assert {r.component_id for r in got if r.doc_id in (20, 30)} == {shared}
+    assert {r.component_id for r in got if r.doc_id in (40, 50, 60)} == {40}
+
+
 def test_components_of_long_chains(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -14,7 +14,7 @@ has fewer than k + 1 others; then both sides of a link that needs one have it.
 3. Clusters are checked exactly. A cluster above ``BLOCK_SHINGLES`` is dealt over blocks, and each pair of blocks is
    one task, so that no task holds an unbounded group; usual clusters are one block. A task counts common shingles
    through an inverted index, skips what lies in one component already and gives back a spanning forest.
-4. The components of the forests, with exact copies joined by set hash, give the result.
+4. The components of the forests, with exact copies joined by set hash and the sets of one id tied to it, give the result.
 
 Defined cases: a null or empty text and a text of white space have no shingles and are linked with nothing; texts with
 fewer words are one shingle; rows with one id are one document; a null id is less than all others; empty tables give
@@ -106,7 +106,7 @@ def set_hashes(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(id, n, h1, h2, sigs) of each row."""
+    """(id, n, h1, h2, sigs, t) of each row; ``t`` is a hash of its text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,12 +116,17 @@ def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
             lengths = np.cumsum([0, *map(len, sigs)])
             flat = pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat)],
-                ["id", "n", "h1", "h2", "sigs"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat), batch.column(2)],
+                ["id", "n", "h1", "h2", "sigs", "t"],
             )
 
+    return told_apart(docs, id_col, text_col).mapInArrow(describe, "id long, n long, h1 long, h2 long, sigs array<long>, t long")
+
+
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, t): rows with one id are told apart by a hash of the text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(describe, "id long, n long, h1 long, h2 long, sigs array<long>")
+    return rows.withColumn("t", F.xxhash64("text"))
 
 
 def forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -173,24 +178,26 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
 
 
 def links_in_clusters(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, block: int) -> DataFrame:
-    """(a, b) spanning forests over the clusters of (id, h1, h2, n, cluster)."""
+    """(a, b) spanning forests over the clusters of (id, t, h1, h2, n, cluster), as links between ids.
+
+    An id may have several sets: a set is read from the row with its id and the hash of its text, and kept by its own hash.
+    """
     spark = docs.sparkSession
     total = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
     blocks = F.ceil(F.col("total") / F.lit(block)).cast("int")
-    placed = members.join(total, "cluster").select("id", "h1", "h2", "cluster", blocks.alias("blocks"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    chosen = texts.join(placed, "id").select("id", "h1", "h2", "cluster", "blocks", "text")
+    placed = members.join(total, "cluster").select("id", "t", "h1", "h2", "cluster", blocks.alias("blocks"))
+    chosen = told_apart(docs, id_col, text_col).join(placed, ["id", "t"]).select("id", "h1", "h2", "cluster", "blocks", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = sets_of(batch.column(5), shingle)
             same = [set_hashes(s) == (a, b) for s, a, b in zip(sets, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             keep = np.flatnonzero(same)
-            columns = [batch.column(c).take(pa.array(keep)) for c in (0, 3, 4)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["id", "cluster", "blocks", "shingles"])
+            columns = [batch.column(c).take(pa.array(keep)) for c in range(5)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["id", "h1", "h2", "cluster", "blocks", "shingles"])
 
-    found = chosen.mapInArrow(collect, "id long, cluster long, blocks int, shingles binary").dropDuplicates(["id"])
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    found = chosen.mapInArrow(collect, "id long, h1 long, h2 long, cluster long, blocks int, shingles binary").dropDuplicates(["id", "h1", "h2"])
+    own = F.pmod(F.xxhash64("id", "h1", "h2"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = found.withColumn("own", own).withColumn("other", other).select(
         "id", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "shingles"
@@ -229,14 +236,27 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stars = signed.join(shared, "sig").where("h <> least").select(F.col("least").alias("a"), F.col("h").alias("b")).distinct()
     clusters = components(stars)
     rows = base.select("id", "n", "h1", "h2")
-    copies = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.max("n").alias("n"))
+    least = base.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "t")).alias("least"), F.max("n").alias("n"))
+    copies = least.select("h1", "h2", "least.id", "least.t", "n")
     members = copies.join(clusters.select(F.col("node").alias("h1"), F.col("label").alias("cluster")), "h1")
-    linked = components(written(links_in_clusters(docs, members, id_col, text_col, shingle, percent, block), "links"))
+    links = written(links_in_clusters(docs, members, id_col, text_col, shingle, percent, block), "links")
+    linked = components(links.unionByName(ties(rows, copies)))
     first = copies.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "id").alias("first")
     )
-    out = rows.join(first, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("n") > 0), "left")
+    full = rows.where("n > 0").join(first, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left").select("id", "n", "first")
+    # a row without shingles goes with the other rows of its id
+    empty = rows.where("n = 0").join(linked.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.col("label").alias("first"))
+    out = full.unionByName(empty)
     kind = docs.schema[id_col].dataType
     known = F.when(F.col("id") != NULL_ID, F.col("id")).cast(kind)
     component = F.coalesce("first", "id")
     return out.select(known.alias(id_col), F.col("n").alias("n_shingles"), F.when(component != NULL_ID, component).cast(kind).alias("component_id"))
+
+
+def ties(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """(a, b): each id with several sets tied to the least id of each of them; ids with one set need none."""
+    lows, highs = (F.min(F.struct("h1", "h2")), F.max(F.struct("h1", "h2")))
+    several = rows.groupBy("id").agg(lows.alias("low"), highs.alias("high")).where("low <> high").select("id")
+    held = rows.where("n > 0").join(several, "id", "left_semi").select(F.col("id").alias("b"), "h1", "h2").distinct()
+    return held.join(copies.select("h1", "h2", F.col("id").alias("a")), ["h1", "h2"]).where("a <> b").select("a", "b")
