@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, fingerprints, hnsw, jaccard_join, language, lempel_ziv_dedup, line_dedup, packing, secrets, suffix_dedup
+from tripwright.llm import (
+    bpe,
+    centroid_clusters,
+    conversation_repair,
+    fingerprints,
+    hnsw,
+    jaccard_join,
+    kd_shards,
+    language,
+    lempel_ziv_dedup,
+    line_dedup,
+    packing,
+    secrets,
+    suffix_dedup,
+)
 from tripwright.llm.vocabulary import BYTE_BPE, WORD_BPE, vocabulary
 
 
@@ -56,6 +70,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.summary(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.summary(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.summary(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -67,5 +93,8 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
+    "op11_kd_shards": op11_kd_shards,
+    "op12_centroids": op12_centroids,
+    "op13_repair": op13_repair,
 }
 ORACLES = {"op8_line_dedup": line_dedup.ORACLE}
