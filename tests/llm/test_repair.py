@@ -3,7 +3,6 @@
 import hashlib
 import random
 import re
-import sys
 import zlib
 from functools import lru_cache
 
@@ -18,8 +17,6 @@ BARE = re.compile(r"[\x20\x09-\x0D]")
 def plain_edits(rows):
     """(cost, audit, repaired) of rows (role, text, fault): the least by cost, then by edits."""
 
-    sys.setrecursionlimit(20_000)
-
     @lru_cache(None)
     def best(i, state, inserts):
         # states: "" nothing yet, "s", "u", "a" the last initial
@@ -43,6 +40,10 @@ def plain_edits(rows):
                 ways.append((1 + extra + cost, "R" + edits, ((name, text), *out)))
         return min(ways, default=(1 << 30, "", ()))
 
+    # from the end, so that no search goes deep
+    for i in range(len(rows), 0, -20):
+        for state in ("", "s", "u", "a"):
+            best(i, state, 0)
     return best(0, "", 0)
 
 
