@@ -72,6 +72,14 @@ def written(df: DataFrame, name: str, *sort: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(table: DataFrame) -> None:
+    """Remove a written table that nothing reads any more."""
+    spark = table.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``checkpoint()`` for small frames; the folder is the session's."""
     shared_folder(df.sparkSession)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import checkpointed
+from tripwright.llm.common import removed, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,8 +15,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     long chains halve. Rounds end as soon as no label changes.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    both = checkpointed(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
+    both = written(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    labels = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels")
     while True:
         offered = both.join(labels, F.col("u") == F.col("node")).select(F.col("v").alias("node"), "label")
         # a root hears of the better labels that its nodes have found
@@ -24,8 +24,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         best = labels.unionByName(offered).unionByName(hooks).groupBy("node").agg(F.min("label").alias("label"))
         up = best.select(F.col("node").alias("label"), F.col("label").alias("higher"))
         jumped = best.join(up, "label", "left").select("node", F.least("label", F.coalesce("higher", "label")).alias("label"))
-        new = checkpointed(jumped)
+        new = written(jumped, "labels")
         changed = new.join(labels.select("node", F.col("label").alias("old")), "node").where("label <> old").limit(1).count()
+        removed(labels)
         labels = new
         if not changed:
+            removed(both)
             return labels

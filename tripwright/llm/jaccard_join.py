@@ -8,12 +8,14 @@ equal: its hash is the signature. This is the enumeration with subsets of one pa
 subsets gave more signatures without fewer false candidates at 0.9. Empty partitions give no signature unless a set
 has fewer than k + 1 others; then both sides of a link that needs one have it.
 
-1. Signatures with the hash of the whole set are grouped; those with two different sets stay. Each member is tied to
-   the least set of its signature: a star, never all pairs.
+1. Signatures go to buckets as packed arrays. Before that a task keeps one set, the least, for each signature among
+   the rows it holds, and ties the others to it. A bucket ties the sets that came with one signature to the least of
+   them: stars, never all pairs. Of the stars that a set lies in, the centres are tied to the least one.
 2. The components of the stars are clusters: all links lie inside clusters.
 3. Clusters are checked exactly. A cluster above ``BLOCK_SHINGLES`` is dealt over blocks, and each pair of blocks is
    one task, so that no task holds an unbounded group; usual clusters are one block. A task counts common shingles
-   through an inverted index, skips what lies in one component already and gives back a spanning forest.
+   through an inverted index, skips what lies in one component already and gives back a spanning forest. Texts of
+   different sets in clusters are shuffled, and their shingles worked out again; no shingle and no signature is stored.
 4. The components of the forests, with exact copies joined by set hash and the sets of one id tied to it, give the result.
 
 Defined cases: a null or empty text and a text of white space have no shingles and are linked with nothing; texts with
@@ -28,7 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import NULL_ID, bounded_batches, partitions, text_bytes, written
@@ -39,6 +41,9 @@ SHINGLE = 3
 PERCENT = 90
 #: Shingles of one block of a cluster.
 BLOCK_SHINGLES = 1_000_000
+#: Signatures that a task holds before it sends them, and that a bucket has on average.
+HELD_SIGNATURES = 500_000
+BUCKET_SIGNATURES = 1_000_000
 #: Bytes of text that are hashed at once.
 STRETCH = 1 << 20
 
@@ -105,22 +110,107 @@ def set_hashes(shingles: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(id, n, h1, h2, sigs, t) of each row; ``t`` is a hash of its text."""
+def described(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, n, h1, h2, t) of each row; ``t`` is a hash of its text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = sets_of(batch.column(1), shingle)
             hashes = [set_hashes(s) for s in sets]
-            sigs = [signatures(s, percent).astype(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-            lengths = np.cumsum([0, *map(len, sigs)])
-            flat = pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat), batch.column(2)],
-                ["id", "n", "h1", "h2", "sigs", "t"],
-            )
+            columns = [[len(s) for s in sets], [h[0] for h in hashes], [h[1] for h in hashes]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), batch.column(2)], ["id", "n", "h1", "h2", "t"])
+
+    return told_apart(docs, id_col, text_col).mapInArrow(describe, "id long, n long, h1 long, h2 long, t long")
+
+
+def least_of_equal(sigs: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, least set of each, stars): different signatures, and (2, n) ties of their other sets to the least."""
+    order = np.lexsort([sets, sigs])
+    sigs, sets = sigs[order], sets[order]
+    new = np.ones(len(sigs), bool)
+    new[1:] = sigs[1:] != sigs[:-1]
+    least = sets[np.flatnonzero(new)][np.cumsum(new) - 1]
+    other = least != sets
+    stars = np.stack([least[other], sets[other]])
+    return sigs[new], sets[new], np.unique(stars, axis=1) if stars.size else stars
+
+
+def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int, buckets: int) -> DataFrame:
+    """(bucket, sigs, sets) as packed arrays, one set for each signature of a task's part; bucket -1 has stars."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+
+        def sent() -> pa.RecordBatch:
+            sigs, least, stars = least_of_equal(np.concatenate(held), np.concatenate(owners))
+            held.clear()
+            owners.clear()
+            rows = [(-1, stars[0].tobytes(), stars[1].tobytes())] if stars.size else []
+            # signatures ascend, and so do their buckets; the bits that chose the bucket need not be sent
+            cuts = np.searchsorted(bucket_of(sigs, buckets), np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                some = slice(cuts[b], cuts[b + 1])
+                rows.append((b, low_bytes(sigs[some]), least[some].tobytes()))
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "sigs", "sets"])
+
+        count = 0
+        for batch in batches:
+            for s in sets_of(batch.column(0), shingle):
+                if len(s):
+                    held.append(signatures(s, percent))
+                    owners.append(np.full(len(held[-1]), set_hashes(s)[0]))
+                    count += len(held[-1])
+                    if count >= HELD_SIGNATURES:
+                        yield sent()
+                        count = 0
+        if held:
+            yield sent()
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(pack, "bucket int, sigs binary, sets binary")
+
+
+def bucket_of(sigs: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets by the upper 32 bits."""
+    return (((sigs >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def low_bytes(sigs: np.ndarray) -> bytes:
+    """The lower six bytes of each signature: few of one bucket agree in them by chance, and the exact check parts those."""
+    return sigs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def read_low_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
 
-    return told_apart(docs, id_col, text_col).mapInArrow(describe, "id long, n long, h1 long, h2 long, sigs array<long>, t long")
+def stars_of(packed: DataFrame) -> DataFrame:
+    """(a, b): sets of one signature tied to the least of them, as ties with the least centre of each set."""
+
+    def tie(table: pa.Table) -> pa.Table:
+        sigs, sets = table.column("sigs").to_pylist(), [np.frombuffer(x, np.int64) for x in table.column("sets").to_pylist()]
+        _, _, stars = least_of_equal(np.concatenate([read_low_bytes(x) for x in sigs]), np.concatenate(sets))
+        return pa.table({"a": pa.array(stars[0]), "b": pa.array(stars[1])})
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)) for x in (a, b)], ["a", "b"])
+
+    between = packed.where("bucket >= 0").groupBy("bucket").applyInArrow(tie, "a long, b long")
+    inside = packed.where("bucket < 0").select("sigs", "sets").mapInArrow(unpack, "a long, b long")
+    return between.unionByName(inside).distinct()
+
+
+def contracted(stars: DataFrame) -> DataFrame:
+    """Stars with fewer ties: each set to the least of its centres, and its other centres to that one."""
+    low = F.min("a").over(Window.partitionBy("b"))
+    own = stars.withColumn("low", low)
+    ties = own.select(F.col("low").alias("a"), F.explode(F.array("a", "b")).alias("b"))
+    return ties.where("a <> b").distinct()
 
 
 def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -186,41 +276,36 @@ def links_in_clusters(docs: DataFrame, members: DataFrame, id_col: str, text_col
     total = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
     blocks = F.ceil(F.col("total") / F.lit(block)).cast("int")
     placed = members.join(total, "cluster").select("id", "t", "h1", "h2", "cluster", blocks.alias("blocks"))
-    chosen = told_apart(docs, id_col, text_col).join(placed, ["id", "t"]).select("id", "h1", "h2", "cluster", "blocks", "text")
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = sets_of(batch.column(5), shingle)
-            same = [set_hashes(s) == (a, b) for s, a, b in zip(sets, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            keep = np.flatnonzero(same)
-            columns = [batch.column(c).take(pa.array(keep)) for c in range(5)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["id", "h1", "h2", "cluster", "blocks", "shingles"])
-
-    found = chosen.mapInArrow(collect, "id long, h1 long, h2 long, cluster long, blocks int, shingles binary").dropDuplicates(["id", "h1", "h2"])
-    own = F.pmod(F.xxhash64("id", "h1", "h2"), F.col("blocks")).cast("int")
+    texts = told_apart(docs, id_col, text_col).dropDuplicates(["id", "t"])
+    chosen = texts.join(placed, ["id", "t"])
+    own = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = found.withColumn("own", own).withColumn("other", other).select(
-        "id", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "shingles"
+    dealt = chosen.withColumn("own", own).withColumn("other", other).select(
+        "id", "h1", "h2", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text"
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes]] = []
+        held: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         last = None
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(held) > 1:
-                edges = forest(np.array([x for x, _ in held]), [np.frombuffer(s, np.uint64) for _, s in held], percent)
+                edges = forest(np.array([x for x, _ in held.values()]), [s for _, s in held.values()], percent)
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            ids, clusters, i, j, shingles = (batch.column(c).to_pylist() for c in range(5))
-            for k in range(len(ids)):
+            ids, h1, h2, clusters, i, j = (batch.column(c).to_pylist() for c in range(6))
+            sets = sets_of(batch.column(6), shingle)
+            for k, own in enumerate(zip(h1, h2, strict=True)):
+                # texts of one id and hash that differ have other sets
+                if set_hashes(sets[k]) != own:
+                    continue
                 key = (clusters[k], i[k], j[k])
                 if key != last:
                     yield from done()
-                    held, last = [], key
-                held.append((ids[k], shingles[k]))
+                    held, last = {}, key
+                held[own] = (ids[k], sets[k])
         yield from done()
 
     keys = ["cluster", "i", "j"]
@@ -230,11 +315,11 @@ def links_in_clusters(docs: DataFrame, members: DataFrame, id_col: str, text_col
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row; see the module's text."""
     bounded_batches(docs.sparkSession)
-    base = written(described(docs, id_col, text_col, shingle, percent), "sets")
-    signed = base.select(F.explode("sigs").alias("sig"), F.col("h1").alias("h"))
-    shared = signed.groupBy("sig").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("sig", "least")
-    stars = signed.join(shared, "sig").where("h <> least").select(F.col("least").alias("a"), F.col("h").alias("b")).distinct()
-    clusters = components(stars)
+    base = written(described(docs, id_col, text_col, shingle), "sets")
+    total = base.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = total * (100 - percent) // (25 * BUCKET_SIGNATURES) + 1
+    stars = written(stars_of(packed_signatures(docs, text_col, shingle, percent, buckets)), "stars")
+    clusters = components(contracted(stars))
     rows = base.select("id", "n", "h1", "h2")
     least = base.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "t")).alias("least"), F.max("n").alias("n"))
     copies = least.select("h1", "h2", "least.id", "least.t", "n")
