@@ -234,3 +234,31 @@ def test_nearest_cases(spark):
     assert found[60] == [(k, 2.0) for k in range(10)]
     assert set(found) == {3, 60}
     assert hnsw.search(frame.limit(0), frame).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1e19, 1e-30, 1e200, 1e-200])
+def test_nearest_at_any_scale(spark, scale):
+    draw = np.random.default_rng(5)
+    rows = [(k, [float(x) for x in draw.normal(size=8) * scale]) for k in range(300)] + [(300, [scale * 1e100] * 8)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in hnsw.search(frame, frame.where("vec_id < 5")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    plain = np.array([v for _, v in rows[:300]]) / scale
+    want = {q: set(np.argsort(((plain - plain[q]) ** 2).sum(1), kind="stable")[1:11].tolist()) for q in range(5)}
+    assert sum(len(found[q] & want[q]) for q in want) >= 45
+
+
+@pytest.mark.parametrize("at", [(1 << 19) - 25, (1 << 20) - 25, (1 << 20) + 7])
+def test_passages_in_texts_above_a_mebibyte(spark, at):
+    """Places of anchors are right wherever a passage lies in a long text."""
+    draw = np.random.default_rng(at)
+    letters = draw.integers(97, 123, 1_200_000).astype(np.uint8).tobytes().decode()
+    rows = [(1, "ab" * 30), (2, letters[:at] + "ab" * 30 + letters[at + 60 :])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.drop_repeated_bytes(frame).collect()} == {1: 0, 2: 60}
+    passage = " ".join("pq"[k % 2] for k in range(40))
+    words = " ".join(letters[k : k + 5] for k in range(0, len(letters), 5))
+    rows = [(1, passage), (2, words[: at // 6 * 6] + passage + words[at // 6 * 6 - 1 :])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in lempel_ziv_dedup.drop_repeated_words(frame).collect()} == {1: 0, 2: 40}

@@ -34,6 +34,8 @@ LINKS = 16
 BUILD_WIDTH = 56
 SEARCH_WIDTH = 128
 SEED = 11
+#: Components of a shard are brought below two to this power.
+LARGEST_EXPONENT = 480
 
 
 @dataclass
@@ -185,10 +187,13 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     by = np.argsort(node, kind="stable")  # ids ascend inside a node
     begin = np.searchsorted(node[by], np.arange(len(different) + 1))
     members = [np.unique(ids[by[a : b]])[: k + 1] for a, b in zip(begin, begin[1:], strict=False)]
-    graph = build(different.astype(np.float32), links)
+    # by a power of two, so that squares neither overflow nor vanish and scores keep every bit
+    scale = int(np.frexp(max(np.abs(different).max(initial=0.0), np.abs(queries).max(initial=0.0)))[1]) - LARGEST_EXPONENT
+    different, queries = np.ldexp(different, -scale), np.ldexp(queries, -scale)
+    graph = build(different, links)
     out = []
-    for q, nodes in enumerate(nearest(graph, queries.astype(np.float32), k, width)):
-        exact = np.sqrt(((different[nodes] - queries[q]) ** 2).sum(1))
+    for q, nodes in enumerate(nearest(graph, queries, k, width)):
+        exact = np.ldexp(np.sqrt(((different[nodes] - queries[q]) ** 2).sum(1)), scale)
         found = [(d, i) for d, x in zip(exact.tolist(), nodes.tolist(), strict=True) for i in members[x].tolist() if i != query_ids[q]]
         out += [(int(query_ids[q]), i, d) for d, i in sorted(found)[:k]]
     return out

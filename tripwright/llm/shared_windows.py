@@ -12,7 +12,8 @@ with equal anchors have to be compared, and only where an anchor stands in sever
 4. A group applies the answers to its documents.
 
 A passage that a third of all documents share is thus one row for each group and not one for each document. Texts are
-shuffled once; after step 2 only those with shared anchors are kept, as a table in the shared folder. Anchors are
+shuffled twice, to the same groups: for steps 1 and 2, whose shuffle is let go when the contexts are written, and for
+step 4. What is written holds contexts and the places of runs, packed, but no whole text. Anchors are
 compared by hash, contexts by their units, so that equal hashes alone remove nothing.
 """
 
@@ -133,10 +134,29 @@ def packed(parts: Iterable[bytes]) -> bytes:
     return pa.compress(b"".join(parts), codec="zstd", asbytes=True)
 
 
-def unpacked(data: bytes, sizes: list[int]) -> list[bytes]:
-    whole = pa.decompress(data, decompressed_size=sum(sizes), codec="zstd", asbytes=True)
-    ends = np.cumsum(sizes).tolist()
-    return [whole[b - n : b] for n, b in zip(sizes, ends, strict=True)]
+def unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True)
+
+
+def packed_contexts(some: list[Context]) -> tuple[int, bytes, bytes]:
+    """(number, units, the rest column by column) of the contexts of one bucket."""
+    columns = (
+        short(np.array([c.key for c in some], np.uint64)),
+        np.array([c.least for c in some], np.int64),
+        np.array([c.windows << 16 | c.anchor for c in some], np.int32),
+        np.array([len(c.units) for c in some], np.int32),
+    )
+    return len(some), packed(c.units for c in some), packed(c.tobytes() for c in columns)
+
+
+def unpacked_contexts(count: int, content: bytes, rest: bytes) -> list[Context]:
+    """The contexts again; 31 bits of a key are enough to hold those of a bucket together, as their units decide."""
+    data = unpacked(rest, count * 20)
+    keys, least = np.frombuffer(data, np.uint32, count), np.frombuffer(data, np.int64, count, 4 * count)
+    shape, sizes = np.frombuffer(data, np.int32, count, 12 * count), np.frombuffer(data, np.int32, count, 16 * count)
+    whole, ends = unpacked(content, int(sizes.sum())), np.cumsum(sizes).tolist()
+    columns = (x.tolist() for x in (keys, sizes, least, shape))
+    return [Context(k, whole[b - n : b], i, x >> 16, x & 0xFFFF) for b, k, n, i, x in zip(ends, *columns, strict=True)]
 
 
 def concatenated(column: pa.ChunkedArray) -> pa.Array:
@@ -146,9 +166,9 @@ def concatenated(column: pa.ChunkedArray) -> pa.Array:
 
 
 def groups_of(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """(grp, id, text); rows with one id share a group."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    return docs.select(F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("grp"), key.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """(grp, id, t, text); rows with one id share a group, and ``t``, a hash of the text, tells them apart."""
+    key, text = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)), F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("grp"), key.alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
 def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -218,36 +238,28 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
                     some.append(Context(key, content, own, windows, int(runs.anchor[r])))
                 place_of = -1 if own > have[1] else have[0]  # -1: a smaller id of this group has the whole run
                 runs_by_doc[at + doc].append((start - int(first_unit[doc]), windows, b, place_of))
-        has = [bool(r) for r in runs_by_doc]
-        values = column.to_pylist()
         rows = len(ids)
-        lists = [found[b] for b in found]
-        nothing = [None] * len(lists)
+        sent = [packed_contexts(some) for some in found.values()]
+        nothing, none = [None] * len(sent), [None] * rows
         return pa.table(
             {
-                "grp": pa.array([grp] * (rows + len(lists)), pa.int32()),
+                "grp": pa.array([grp] * (rows + len(sent)), pa.int32()),
                 "id": pa.array([*ids.tolist(), *nothing], pa.int64()),
+                "t": pa.array([*left.column("t").to_pylist(), *nothing], pa.int64()),
                 "n_units": pa.array([*units.tolist(), *nothing], pa.int64()),
-                "whole": pa.array([*(None if h else sha256_hex(kind.finish(t.encode(), None)) for h, t in zip(has, values, strict=True)), *nothing], pa.string()),
-                "text": pa.array([*(t if h else None for h, t in zip(has, values, strict=True)), *nothing], pa.string()),
-                "runs": pa.array([*(np.array(r, np.int32).tobytes() if r else None for r in runs_by_doc), *nothing], pa.binary()),
-                "bucket": pa.array([*[None] * rows, *found], pa.int32()),
-                "key": pa.array([*[None] * rows, *([c.key - (1 << 63) for c in x] for x in lists)], pa.list_(pa.int64())),
-                "content": pa.array([*[None] * rows, *(packed(c.units for c in x) for x in lists)], pa.binary()),
-                "sizes": pa.array([*[None] * rows, *([len(c.units) for c in x] for x in lists)], pa.list_(pa.int32())),
-                "least": pa.array([*[None] * rows, *([c.least for c in x] for x in lists)], pa.list_(pa.int64())),
-                "shape": pa.array([*[None] * rows, *([c.windows << 16 | c.anchor for c in x] for x in lists)], pa.list_(pa.int32())),
+                "count": pa.array([*map(len, runs_by_doc), *(x[0] for x in sent)], pa.int32()),
+                "runs": pa.array([*(packed([np.array(r, np.int32).T.tobytes()]) if r else None for r in runs_by_doc), *nothing], pa.binary()),
+                "bucket": pa.array([*none, *found], pa.int32()),
+                "content": pa.array([*none, *(x[1] for x in sent)], pa.binary()),
+                "rest": pa.array([*none, *(x[2] for x in sent)], pa.binary()),
             }
         )
 
-    schema = "grp int, id long, n_units long, whole string, text string, runs binary, bucket int, key array<long>, content binary, sizes array<int>, least array<long>, shape array<int>"
+    schema = "grp int, id long, t long, n_units long, count int, runs binary, bucket int, content binary, rest binary"
     both = written(texts.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(contexts, schema), "contexts")
 
     def decided(table: pa.Table) -> pa.Table:
-        rows = [
-            [Context(k + (1 << 63), u, i, s >> 16, s & 0xFFFF) for k, u, i, s in zip(key, unpacked(content, sizes), least, shape, strict=True)]
-            for key, content, sizes, least, shape in zip(*(table.column(c).to_pylist() for c in ("key", "content", "sizes", "least", "shape")), strict=True)
-        ]
+        rows = [unpacked_contexts(*x) for x in zip(*(table.column(c).to_pylist() for c in ("count", "content", "rest")), strict=True)]
         every = [c for row in rows for c in row]
         by_key: dict[int, list[int]] = {}
         for place, c in enumerate(every):
@@ -274,44 +286,51 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
             resolve()
         out, at = [], 0
         for row in rows:
-            out.append(np.array(masks[at : at + len(row)], np.uint64).tobytes())
+            out.append(packed([np.array(masks[at : at + len(row)], np.uint64).tobytes()]))
             at += len(row)
-        return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "masks": pa.array(out, pa.binary())})
+        return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "count": table.column("count"), "masks": pa.array(out, pa.binary())})
 
-    sent = both.where("id is null").select("grp", "bucket", "key", "content", "sizes", "least", "shape")
-    told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, masks binary")
+    sent = both.where("id is null").select("grp", "bucket", "count", "content", "rest")
+    told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, count int, masks binary")
 
     def applied(left: pa.Table, right: pa.Table) -> pa.Table:
-        masks = {b: np.frombuffer(m, np.uint64) for b, m in zip(right.column("bucket").to_pylist(), binary(right.column("masks")), strict=True)}
-        out: dict[str, list] = {k: [] for k in ("n_removed", "n_spans", "kept_sha256", "kept")}
-        for n, text, packed in zip(*(left.column(c).to_pylist() for c in ("n_units", "text", "runs")), strict=True):
-            edge = np.zeros(n + 1, np.int32)
-            for start, windows, bucket, place in np.frombuffer(packed, np.int32).reshape(-1, 4).tolist():
-                mask = (1 << windows) - 1 if place < 0 else int(masks[bucket][place])
-                if mask == (1 << windows) - 1:
-                    edge[start] += 1
-                    edge[start + windows + kind.width - 1] -= 1
-                    continue
-                while mask:
-                    low = (mask & -mask).bit_length() - 1
-                    edge[start + low] += 1
-                    edge[start + low + kind.width] -= 1
-                    mask &= mask - 1
-            removed = np.cumsum(edge[:-1]) > 0
+        masks, runs = {}, {}
+        for i, t, bucket, count, n, data in zip(*(right.column(c).to_pylist() for c in ("id", "t", "bucket", "count", "n_units", "data")), strict=True):
+            if bucket is not None:
+                masks[bucket] = np.frombuffer(unpacked(data, 8 * count), np.uint64)
+            else:
+                runs[i, t] = n, (np.frombuffer(unpacked(data, 16 * count), np.int32).reshape(4, count).T if data else None)
+        out: dict[str, list] = {k: [] for k in ("n_units", "n_removed", "n_spans", "kept_sha256", "kept")}
+        for i, t, text in zip(*(left.column(c).to_pylist() for c in ("id", "t", "text")), strict=True):
+            n, own = runs[i, t]
+            out["n_units"].append(n)
+            removed = None if own is None else removed_units(n, own.tolist(), masks, kind.width)
             kept = kind.finish(text.encode(), removed)
-            out["n_removed"].append(int(removed.sum()))
-            out["n_spans"].append(int((np.diff(removed.astype(np.int8), prepend=0) == 1).sum()))
+            out["n_removed"].append(0 if removed is None else int(removed.sum()))
+            out["n_spans"].append(0 if removed is None else int((np.diff(removed.astype(np.int8), prepend=0) == 1).sum()))
             out["kept_sha256"].append(sha256_hex(kept))
-            out["kept"].append(kept)
-        kinds = {"n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
-        return pa.table({"id": left.column("id"), "n_units": left.column("n_units")} | {k: pa.array(v, kinds[k]) for k, v in out.items()})
-
-    of_docs = both.where("id is not null")
-    changed = of_docs.where("runs is not null").select("grp", "id", "n_units", "text", "runs").groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(
-        applied, "id long, n_units long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    )
-    same = of_docs.where("runs is null").select(
-        "id", "n_units", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("whole").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept")
-    )
-    return changed.unionByName(same)
-
+            out["kept"].append(None if removed is None else kept)
+        kinds = {"n_units": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
+        return pa.table({"id": left.column("id")} | {k: pa.array(v, kinds[k]) for k, v in out.items()})
+
+    none = F.lit(None)
+    answered = told.select("grp", none.cast("long").alias("id"), none.cast("long").alias("t"), none.cast("long").alias("n_units"), "count", "bucket", F.col("masks").alias("data"))
+    known = both.where("id is not null").select("grp", "id", "t", "n_units", "count", "bucket", F.col("runs").alias("data")).unionByName(answered)
+    return texts.groupBy("grp").cogroup(known.groupBy("grp")).applyInArrow(applied, "id long, n_units long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+def removed_units(n: int, runs: list[list[int]], masks: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """Units of a document that its removed windows cover, from runs (start, windows, bucket, place)."""
+    edge = np.zeros(n + 1, np.int32)
+    for start, windows, bucket, place in runs:
+        mask = (1 << windows) - 1 if place < 0 else int(masks[bucket][place])
+        if mask == (1 << windows) - 1:
+            edge[start] += 1
+            edge[start + windows + width - 1] -= 1
+            continue
+        while mask:
+            low = (mask & -mask).bit_length() - 1
+            edge[start + low] += 1
+            edge[start + low + width] -= 1
+            mask &= mask - 1
+    return np.cumsum(edge[:-1]) > 0

@@ -75,19 +75,29 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+#: Windows whose places are found at once; a place inside them fits in 20 bits.
+PLACES = 1 << 19
+
+
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the least value, the first of equal ones, in each window of ``width``."""
+    """Place of the least value, the first of equal ones, in each window of ``width``, which is at most ``PLACES``.
+
+    The upper 44 bits of values decide. Places are counted from the first of some windows, so that they ascend in all.
+    """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    # 44 bits of the value and the place inside blocks decide; doubling steps give the least of each window
-    best = (values[:] >> np.uint64(20) << np.uint64(20)) | (np.arange(len(values), dtype=np.uint64) & np.uint64((1 << 20) - 1))
+    return np.concatenate([at + least_inside(values[at : min(at + PLACES, n) + width - 1], width) for at in range(0, n, PLACES)])
+
+
+def least_inside(values: np.ndarray, width: int) -> np.ndarray:
+    """``least_places`` of few enough windows, by doubling steps."""
+    n = len(values) - width + 1
+    best = (values >> np.uint64(20) << np.uint64(20)) | np.arange(len(values), dtype=np.uint64)
     span = 1
     while span * 2 <= width:
         best = np.minimum(best[:-span], best[span:])
         span *= 2
     if span < width:
-        best = np.minimum(best[: n], best[width - span : width - span + n])
-    at = np.arange(n, dtype=np.int64)
-    low = (best[:n] & np.uint64((1 << 20) - 1)).astype(np.int64)
-    return at + ((low - at) & ((1 << 20) - 1))
+        best = np.minimum(best[:n], best[width - span : width - span + n])
+    return (best[:n] & np.uint64((1 << 20) - 1)).astype(np.int64)
