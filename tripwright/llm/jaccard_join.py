@@ -57,7 +57,7 @@ def bands(percent: int, top: int) -> np.ndarray:
     return np.array(firsts, np.int64)
 
 
-def signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def signatures(shingles: np.ndarray, percent: int = PERCENT, subsets: bool = True) -> np.ndarray:
     """PartEnum signatures of one set, given as sorted different hashes."""
     n = len(shingles)
     firsts = bands(percent, 1 << max(10, n.bit_length() + 1))
@@ -67,15 +67,23 @@ def signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     for band in (own, own + 1):
         top = int(firsts[band + 1]) - 1
         k = 2 * top * (100 - percent) // (100 + percent)
-        parts = k + 1 + (k >= 8)
-        part = ((spread * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        # of so many first-level partitions one has at most one difference (without subsets: none)
+        each = 2 if subsets and k else 1
+        needed = k // each + 1
+        groups, size = needed + (k >= 8), 3 if each == 2 else 1
+        part = ((spread * np.uint64(groups * size)) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        sums = np.add.reduceat(mixed(shingles + np.uint64(band + 1))[order], np.flatnonzero(np.diff(part[order], prepend=-1)))
-        filled = np.unique(part)
-        if len(filled) < min(parts, k + 1):
-            empty = np.setdiff1d(np.arange(parts), filled)
-            filled, sums = np.concatenate([filled, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-        out.append(mixed(sums ^ mixed(filled.astype(np.uint64) * np.uint64(2_654_435_761) + np.uint64(band << 40))))
+        sums, filled = np.zeros(groups * size, np.uint64), np.unique(part)
+        sums[filled] = np.add.reduceat(mixed(shingles + np.uint64(band + 1))[order], np.flatnonzero(np.diff(part[order], prepend=-1)))
+        has = np.zeros(groups * size, np.int64)
+        has[filled] = 1
+        sums, has = sums.reshape(groups, size), has.reshape(groups, size)
+        if size > 1:
+            # each subset leaves out one second-level partition
+            sums, has = sums.sum(1, dtype=np.uint64, keepdims=True) - sums, has.sum(1, keepdims=True) - has
+        # empty ones count only where there are too few partitions whose subsets all hold something
+        chosen = np.flatnonzero(has.ravel()) if (has > 0).all(1).sum() >= needed else np.arange(groups * size)
+        out.append(mixed(sums.ravel()[chosen] ^ mixed(chosen.astype(np.uint64) * np.uint64(2_654_435_761) + np.uint64(band << 40))))
     return np.concatenate(out)
 
 

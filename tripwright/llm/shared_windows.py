@@ -149,14 +149,53 @@ def packed_contexts(some: list[Context]) -> tuple[int, bytes, bytes]:
     return len(some), packed(c.units for c in some), packed(c.tobytes() for c in columns)
 
 
-def unpacked_contexts(count: int, content: bytes, rest: bytes) -> list[Context]:
-    """The contexts again; 31 bits of a key are enough to hold those of a bucket together, as their units decide."""
-    data = unpacked(rest, count * 20)
-    keys, least = np.frombuffer(data, np.uint32, count), np.frombuffer(data, np.int64, count, 4 * count)
-    shape, sizes = np.frombuffer(data, np.int32, count, 12 * count), np.frombuffer(data, np.int32, count, 16 * count)
-    whole, ends = unpacked(content, int(sizes.sum())), np.cumsum(sizes).tolist()
-    columns = (x.tolist() for x in (keys, sizes, least, shape))
-    return [Context(k, whole[b - n : b], i, x >> 16, x & 0xFFFF) for b, k, n, i, x in zip(ends, *columns, strict=True)]
+class Contexts:
+    """The contexts of one bucket, as arrays over their joined units; a context is an object only while it is resolved.
+
+    31 bits of a key are enough to hold those of a bucket together, as their units decide.
+    """
+
+    def __init__(self, rows: Iterable[tuple[int, bytes, bytes]]) -> None:
+        columns: list[list[np.ndarray]] = [[], [], [], []]
+        units = []
+        self.counts = []
+        for count, content, rest in rows:
+            data, at = unpacked(rest, count * 20), 0
+            for column, kind in zip(columns, (np.uint32, np.int64, np.int32, np.int32), strict=True):
+                column.append(np.frombuffer(data, kind, count, at))
+                at += count * np.dtype(kind).itemsize
+            units.append(unpacked(content, int(columns[3][-1].sum())))
+            self.counts.append(count)
+        self.keys, self.least, self.shape, sizes = map(np.concatenate, columns)
+        self.units = b"".join(units)
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+
+    def cut(self, place: int) -> bytes:
+        return self.units[self.starts[place] : self.ends[place]]
+
+    def context(self, place: int) -> Context:
+        shape = int(self.shape[place])
+        return Context(int(self.keys[place]), self.cut(place), int(self.least[place]), shape >> 16, shape & 0xFFFF)
+
+    def masks(self, resolve: Callable) -> np.ndarray:
+        """Removed windows of each context: by the least id where all contexts of an anchor are equal, else resolved."""
+        order = np.argsort(self.keys, kind="stable")
+        begin = np.flatnonzero(np.diff(self.keys[order].astype(np.int64), prepend=-1))
+        out = np.zeros(len(order), np.uint64)
+        rest: list[int] = []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
+            places = order[a:b]
+            one, shape = self.cut(places[0]), self.shape[places[0]]
+            if (self.shape[places] == shape).all() and all(self.cut(p) == one for p in places[1:]):
+                least = self.least[places]
+                out[places[least > least.min()]] = (1 << (int(shape) >> 16)) - 1
+            else:
+                rest += places.tolist()
+            if len(rest) >= RESOLVED_AT_ONCE or (rest and b == len(order)):  # anchors are independent of each other
+                out[rest] = np.array(resolve([self.context(p) for p in rest]), np.uint64)
+                rest.clear()
+        return out
 
 
 def concatenated(column: pa.ChunkedArray) -> pa.Array:
@@ -259,36 +298,10 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
     both = written(texts.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(contexts, schema), "contexts")
 
     def decided(table: pa.Table) -> pa.Table:
-        rows = [unpacked_contexts(*x) for x in zip(*(table.column(c).to_pylist() for c in ("count", "content", "rest")), strict=True)]
-        every = [c for row in rows for c in row]
-        by_key: dict[int, list[int]] = {}
-        for place, c in enumerate(every):
-            by_key.setdefault(c.key, []).append(place)
-        masks = [0] * len(every)
-        rest: list[int] = []
-
-        def resolve() -> None:
-            for p, mask in zip(rest, kind.resolve([every[p] for p in rest]), strict=True):
-                masks[p] = mask
-            rest.clear()
-
-        for places in by_key.values():
-            one = every[places[0]]
-            if all(every[p].units == one.units and every[p].anchor == one.anchor for p in places):
-                least = min(every[p].least for p in places)
-                for p in places:
-                    masks[p] = (1 << every[p].windows) - 1 if every[p].least > least else 0
-            else:
-                rest += places
-                if len(rest) >= RESOLVED_AT_ONCE:  # anchors are independent of each other
-                    resolve()
-        if rest:
-            resolve()
-        out, at = [], 0
-        for row in rows:
-            out.append(packed([np.array(masks[at : at + len(row)], np.uint64).tobytes()]))
-            at += len(row)
-        return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "count": table.column("count"), "masks": pa.array(out, pa.binary())})
+        bucket = Contexts(zip(*(table.column(c).to_pylist() for c in ("count", "content", "rest")), strict=True))
+        masks = np.split(bucket.masks(kind.resolve), np.cumsum(bucket.counts)[:-1])
+        data = pa.array([packed([m.tobytes()]) for m in masks], pa.binary())
+        return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "count": table.column("count"), "masks": data})
 
     sent = both.where("id is null").select("grp", "bucket", "count", "content", "rest")
     told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, count int, masks binary")
