@@ -79,7 +79,12 @@ def test_salt_spreads_a_heavy_key(spark):
 def test_left_join_keeps_trips_without_events(spark):
     trips = spark.createDataFrame([("a",), ("b",)], "trip_id string")
     events = spark.createDataFrame([("a", 1), ("a", 2), ("z", 3)], "trip_id string, e int")
-    rows = joins.left_join_events(trips, events, ["e"], limit=1).collect()
+    for limit in (1, 100):
+        rows = joins.left_join_events(trips, events, ["e"], limit=limit).collect()
+        assert sorted((r.trip_id, r.e or 0) for r in rows) == [("a", 1), ("a", 2), ("b", 0)]
+    # a key that only seems heavy
+    heavy = skew.HeavyKeys(spark.createDataFrame([("b", 9), ("a", 9)], "trip_id string, _rows bigint"), 2, 18)
+    rows = joins.left_join_events(trips, events, ["e"], heavy=heavy).collect()
     assert sorted((r.trip_id, r.e or 0) for r in rows) == [("a", 1), ("a", 2), ("b", 0)]
 
 

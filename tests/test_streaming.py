@@ -175,6 +175,29 @@ def test_vehicle_result_covers_earlier_trips(spark, tmp_path):
     assert (two.trip_id, two.mtrip_cnt) == (TRIP, 12)
 
 
+def test_a_bad_end_time_leaves_other_vehicles_alone(spark, tmp_path):
+    """A trip that ends outside the calendar reads to the last day; the others read their own days."""
+    base = str(tmp_path)
+    other = "c88e7700-6863-11e8-96b3-bf7af28e956c"
+
+    def of_vehicle(message, vehicle):
+        return (message[0], message[1].replace('"v1"', f'"{vehicle}"').replace('"mGPS', f'"m{vehicle}'))
+
+    rows = [sample_message(i) for i in range(10)] + [trip_message()]
+    bad = [sample_message(i, other, at=START + 2000 * i + 86_400_000 * (i > 6)) for i in range(10)]
+    bad += [trip_message(other, end=2**62)]
+    send(spark, f"{base}/topic", rows + [of_vehicle(m, "v2") for m in bad], "a")
+    run_ingest(spark, base)
+    run_score(spark, base, app.start_multi_score)
+    got = app.current_results(spark, f"{base}/gold", "ms_trip_stat", "vehicle_id").collect()
+    assert {(r.vehicle_id, r.mtrip_cnt) for r in got} == {("v1", 10), ("v2", 10)}
+    ranges = [(START, START + 1), (-(2**62), START), (START, 2**62), (-(2**62), 2**62)]
+    days = spark.createDataFrame([("2018-06-04",), ("2018-06-05",), ("2018-06-06",), ("none",)], "part_day string")
+    for picked, want in (([0], 1), ([0, 1], 3), ([2], 3), ([3], 4), ([], 0)):
+        trips = spark.createDataFrame([ranges[k] for k in picked], "start_ts bigint, end_ts bigint")
+        assert days.where(app.days_of_ranges(trips)).count() == want
+
+
 def test_key_counts_and_console(spark, tmp_path):
     send(spark, f"{tmp_path}/topic", [("a", "1"), ("a", "2"), ("b", "3"), (None, "4")], "x")
     stream = file_messages(spark, f"{tmp_path}/topic/*", files_per_batch=1)

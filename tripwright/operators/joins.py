@@ -27,21 +27,40 @@ def join_samples(
 
 
 def left_join_events(
-    trips: DataFrame, events: DataFrame, spread: Sequence[str], limit: int = ROWS_PER_TASK
+    trips: DataFrame,
+    events: DataFrame,
+    spread: Sequence[str],
+    limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """All trips with their events by trip id.
 
-    Written as an inner join and the trips without events: a heavy trip can be split on the
-    event side of an inner join, but not on that side of a left join.
+    The events of a heavy trip can be split on that side of an inner join, but not of a left join.
+    A heavy trip has events, so an inner join is enough for it; all others take one left join.
+    ``heavy`` may come from a cheaper count than one over ``events``.
     """
-    matched = salted_join(events, trips, ["trip_id"], spread, limit)
-    return with_unmatched(trips, matched, events, "trip_id")
+    if heavy is None:
+        heavy = heavy_keys(events, ["trip_id"], limit)
+    if heavy.size == 0:
+        return trips.join(events, "trip_id", "left")
+    marks = heavy.for_join().drop("_rows")
+    many = trips.join(marks, "trip_id", "left_semi")
+    split = salted_join(events.join(marks, "trip_id", "left_semi"), many, ["trip_id"], spread, limit)
+    # a key that only seems heavy may have no events
+    lonely = many.join(events.join(marks, "trip_id", "left_semi").select("trip_id"), "trip_id", "left_anti")
+    few = trips.join(marks, "trip_id", "left_anti").join(
+        events.join(marks, "trip_id", "left_anti"), "trip_id", "left"
+    )
+    return few.unionByName(split).unionByName(lonely, allowMissingColumns=True)
 
 
 def with_unmatched(
     left: DataFrame, matched: DataFrame, matching: DataFrame, key: str
 ) -> DataFrame:
-    """Add to an inner join the left rows whose ``key`` does not occur in ``matching``."""
+    """Add to an inner join the left rows whose ``key`` does not occur in ``matching``.
+
+    Pass a stored frame as both, so that the join behind it runs once.
+    """
     keys = matching.select(key).groupBy(key).agg(F.lit(1).alias("_one")).drop("_one")
     return matched.unionByName(left.join(keys, key, "left_anti"), allowMissingColumns=True)
 

@@ -58,9 +58,7 @@ def trip_rollup(
     The earliest sample, unlike the first to arrive, is the same in every run. A sample without
     usable time counts, but is the earliest only if no sample of the trip has a time.
     """
-    row = F.struct("time", *tie, *firsts)
-    timed = F.min(F.when(F.col("time").isNotNull(), row))
-    earliest = F.coalesce(timed, F.min(row)).alias("_first")
+    earliest = F.min(F.struct(F.col("time").isNull(), "time", *tie, *firsts)).alias("_first")
     return (
         samples.groupBy(key)
         .agg(

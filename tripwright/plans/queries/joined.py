@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.operators import joins, stats
+from tripwright.operators.skew import checkpointed
 from tripwright.plans import fixtures as fx
 from tripwright.plans import score
 from tripwright.plans.oracle import (
@@ -125,7 +126,7 @@ def range_join_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_join_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with the events in their time range; the stored event time is text."""
     trips = fx.scored_trips(spark, sf_dir).select("trip_id", "vehicle_id", "start_ts", "end_ts")
-    matched = score.matched_events(trips, fx.stored_events(spark, sf_dir))
+    matched = checkpointed(score.matched_events(trips, fx.stored_events(spark, sf_dir)))
     rows = joins.with_unmatched(trips, matched, matched, "trip_id")
     return rows.select("trip_id", "event_id", "event_ts")
 

@@ -41,6 +41,7 @@ from tripwright.schemas import SCORE_KEY
 from tripwright.sources.tables import (
     BATCH,
     DAY,
+    NO_DAY,
     Among,
     day_of_trip,
     load_table,
@@ -70,11 +71,31 @@ def days_of_trips(trips: DataFrame) -> DataFrame:
 
 
 def days_of_ranges(trips: DataFrame) -> Column:
-    """Day folders between the first start and the last end of these trips."""
-    low, high = trips.agg(
-        millis_date(F.min("start_ts")).cast("string"), millis_date(F.max("end_ts")).cast("string")
+    """Day folders that the time ranges of these trips touch.
+
+    A range that ends outside the calendar, which a faulty device may send, is open on that side;
+    it adds the days from its start on, and those without a day, and takes nothing from the others.
+    """
+    first = millis_date(F.col("start_ts")).cast("string")
+    last = millis_date(F.col("end_ts")).cast("string")
+    ranges = trips.select(first.alias("first"), last.alias("last"))
+    known = F.col("first").isNotNull() & F.col("last").isNotNull()
+    low, high, since, until, unknown = ranges.agg(
+        F.min(F.when(known, F.col("first"))),
+        F.max(F.when(known, F.col("last"))),
+        F.min(F.when(F.col("last").isNull(), F.col("first"))),
+        F.max(F.when(F.col("first").isNull(), F.col("last"))),
+        F.coalesce(F.bool_or(F.col("first").isNull() & F.col("last").isNull()), F.lit(False)),
     ).first()
-    return F.col(DAY).between(low, high)
+    day = F.col(DAY)
+    touched = F.lit(unknown)
+    if low is not None:
+        touched = touched | day.between(low, high)
+    if since is not None:
+        touched = touched | (day >= since) | (day == NO_DAY)
+    if until is not None:
+        touched = touched | (day <= until) | (day == NO_DAY)
+    return touched
 
 
 @contextmanager
