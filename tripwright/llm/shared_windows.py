@@ -34,7 +34,7 @@ from tripwright.llm.words import least_places
 GROUP_BYTES = 8 << 20
 STRETCH = 1 << 20
 #: Contexts that a bucket hands to ``resolve`` at once, which bounds what it holds; one anchor stays whole.
-RESOLVED_AT_ONCE = 2_000
+RESOLVED_AT_ONCE = 4_000
 
 
 @dataclass(frozen=True)
@@ -181,18 +181,30 @@ class Contexts:
     def masks(self, resolve: Callable) -> np.ndarray:
         """Removed windows of each context: by the least id where all contexts of an anchor are equal, else resolved."""
         order = np.argsort(self.keys, kind="stable")
-        begin = np.flatnonzero(np.diff(self.keys[order].astype(np.int64), prepend=-1))
+        keys, least, shape = self.keys[order], self.least[order], self.shape[order]
+        new = np.ones(len(order), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        begin = np.flatnonzero(new)
+        lows, highs = np.minimum.reduceat(shape, begin), np.maximum.reduceat(shape, begin)
+        starts, ends, units = self.starts[order].tolist(), self.ends[order].tolist(), self.units
+        cuts = [*begin.tolist(), len(order)]
+        equal = lows == highs
+        for g in np.flatnonzero(equal).tolist():
+            at = cuts[g]
+            one = units[starts[at] : ends[at]]
+            for p in range(at + 1, cuts[g + 1]):
+                if units[starts[p] : ends[p]] != one:
+                    equal[g] = False
+                    break
+        sizes = np.diff(cuts)
+        gone = np.repeat(equal, sizes) & (least > np.repeat(np.minimum.reduceat(least, begin), sizes))
         out = np.zeros(len(order), np.uint64)
+        out[order[gone]] = (np.uint64(1) << (shape[gone] >> 16).astype(np.uint64)) - np.uint64(1)
         rest: list[int] = []
-        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
-            places = order[a:b]
-            one, shape = self.cut(places[0]), self.shape[places[0]]
-            if (self.shape[places] == shape).all() and all(self.cut(p) == one for p in places[1:]):
-                least = self.least[places]
-                out[places[least > least.min()]] = (1 << (int(shape) >> 16)) - 1
-            else:
-                rest += places.tolist()
-            if len(rest) >= RESOLVED_AT_ONCE or (rest and b == len(order)):  # anchors are independent of each other
+        differing = np.flatnonzero(~equal).tolist()
+        for g in differing:
+            rest += order[cuts[g] : cuts[g + 1]].tolist()
+            if len(rest) >= RESOLVED_AT_ONCE or g == differing[-1]:  # anchors are independent of each other
                 out[rest] = np.array(resolve([self.context(p) for p in rest]), np.uint64)
                 rest.clear()
         return out
