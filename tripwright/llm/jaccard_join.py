@@ -3,10 +3,11 @@
 A document's set holds its different runs of ``SHINGLE`` words. Sets of sizes l..l/0.9 form a band; two sets that
 link lie in one band or in neighbouring ones, so that each set takes part in its own band and the next. In a band
 with largest size r, linked sets differ in at most ``k = 2 r (1 - 0.9) / (1 + 0.9)`` shingles. The domain of
-shingles is cut into ``k + 1`` partitions (one more for larger k), so that k differences leave at least one of them
-equal: its hash is the signature. This is the enumeration with subsets of one partition: more partitions with larger
-subsets gave more signatures without fewer false candidates at 0.9. Empty partitions give no signature unless a set
-has fewer than k + 1 others; then both sides of a link that needs one have it.
+shingles is cut into ``k // 2 + 1`` first-level partitions (one more for larger k), so that one of them has at most one
+difference. Each is cut into three second-level partitions, and each subset that leaves one of them out is a
+signature: the subset without the difference is equal on both sides. For k = 0 the whole set is the signature. Empty
+subsets give no signature unless a set has too few partitions whose subsets all hold something; then both sides of a
+link that needs one have it.
 
 1. Signatures go to buckets as packed arrays. Before that a task keeps one set, the least, for each signature among
    the rows it holds, and ties the others to it. A bucket ties the sets that came with one signature to the least of
