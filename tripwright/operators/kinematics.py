@@ -43,11 +43,16 @@ def with_moves(
     """
 
     def compute(rows: DataFrame, track: WindowSpec) -> DataFrame:
-        return _with_speed_change(_with_speed(rows, track, window), track)
+        return moves_over(rows, track, window)
 
     return over_tracks(points, keys, track_order(tie), window + 1, compute, limit, heavy)
 
 
+def moves_over(rows: DataFrame, track: WindowSpec, window: int) -> DataFrame:
+    """The columns of ``with_moves`` over one window; a row depends on ``window + 1`` rows before it."""
+    return _with_speed_change(_with_speed(rows, track, window), track)
+
+
 def _with_speed(rows: DataFrame, track: WindowSpec, window: int) -> DataFrame:
     trail = track.rowsBetween(-(window - 1), 0)
     start = track.rowsBetween(-window, 0)

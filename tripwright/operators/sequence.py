@@ -2,8 +2,8 @@
 
 A window over ``partitionBy(track)`` sorts a whole track in one task. That is right for
 ordinary trips. A track above the row limit is cut into blocks of consecutive rows; every
-block also carries the last rows of the block before it, as many as the computation looks
-back, so each row sees exactly the neighbours it has in the whole track.
+block also carries the rows beside it, as many as the computation looks back and ahead, so
+each row sees exactly the neighbours it has in the whole track.
 """
 
 from __future__ import annotations
@@ -31,10 +31,11 @@ def over_tracks(
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     limit: int = ROWS_PER_TASK,
     heavy: HeavyKeys | None = None,
+    ahead: int = 1,
 ) -> DataFrame:
     """Apply ``compute(frame, window)`` to each track.
 
-    ``reach`` is the number of rows the computation looks back. It may look one row ahead.
+    ``reach`` is the number of rows the computation looks back, ``ahead`` the number it looks ahead.
     ``order`` must order the rows of a track without ties. ``compute`` must keep the columns
     of its input and must not drop rows. Rows without key belong to no track and are left out.
 
@@ -51,7 +52,8 @@ def over_tracks(
 
     marks = heavy.for_join().drop("_rows")
     parts = heavy.rows // limit + 2  # as many ranges as there are blocks
-    blocks = _blocks(rows.join(marks, keys, "left_semi"), keys, order, reach, limit, parts)
+    cut = rows.join(marks, keys, "left_semi")
+    blocks = _blocks(cut, keys, order, reach, ahead, limit, parts)
     plain = (
         rows.join(marks, keys, "left_anti")
         .withColumn("_block", F.lit(0).cast("bigint"))
@@ -117,13 +119,19 @@ def _placed(
 
 
 def _blocks(
-    rows: DataFrame, keys: list[str], order: Sequence[Column], reach: int, limit: int, parts: int
+    rows: DataFrame,
+    keys: list[str],
+    order: Sequence[Column],
+    reach: int,
+    ahead: int,
+    limit: int,
+    parts: int,
 ) -> DataFrame:
     placed = _placed(rows, keys, order, parts)
-    length = max(limit, reach + 1)
+    length = max(limit, reach + 1, ahead + 1)
     place = F.col("_start") + F.col("_place") - 1
     block = F.call_function("div", place, F.lit(length)).cast("bigint")
-    # A block also needs the row after its end, for a look ahead by one.
+    # A block also needs the rows after its end that the computation looks ahead to.
     offset = F.pmod(place, F.lit(length))
     homes = F.filter(
         F.array(
@@ -133,7 +141,7 @@ def _blocks(
                 F.struct((block + 1).alias("_block"), F.lit(True).alias("_context")),
             ),
             F.when(
-                (offset == 0) & (block > 0),
+                (offset < ahead) & (block > 0),
                 F.struct((block - 1).alias("_block"), F.lit(True).alias("_context")),
             ),
         ),
