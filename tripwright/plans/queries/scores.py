@@ -158,6 +158,17 @@ def multi_trip_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(score.multi_trip_score(*_inputs(spark, sf_dir)))
 
 
+@query(
+    sql(
+        _result_sql("vehicle_id", "FROM facts f JOIN own t ON t.trip_id = f.first_trip"),
+        *_multi_ctes("vehicle_id"),
+    )
+)
+def multi_trip_result_by_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result per vehicle, put together from one mergeable state per trip."""
+    return _wide(score.multi_trip_score_by_states(*_inputs(spark, sf_dir)))
+
+
 @query(
     sql(
         _result_sql("trip_id", "FROM facts f JOIN own t ON t.trip_id = f.trip_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,13 @@ from tripwright.operators.kinematics import with_moves
 from tripwright.operators.payloads import explode_samples, parse_samples, parse_trip_payload
 from tripwright.operators.points import sample_time
 from tripwright.operators.rollups import EVENT_COUNTS, track_facts
+from tripwright.operators.segments import (
+    COUNTED,
+    FOUND,
+    interleaved,
+    segment_facts,
+    track_segments,
+)
 from tripwright.operators.sequence import with_pieces
 from tripwright.operators.skew import (
     ROWS_PER_TASK,
@@ -281,6 +288,83 @@ def multi_trip_result(
     return _result(joined, event_stats(events, by), by, zone, limits)
 
 
+VEHICLE = ("vehicle_id",)
+
+
+def trip_states(
+    samples: DataFrame,
+    window: int = SPEED_WINDOW,
+    limit: int = ROWS_PER_TASK,
+    heavy_vehicles: HeavyKeys | None = None,
+) -> DataFrame:
+    """State per trip of what ``matched_samples`` found, from which the vehicle's facts follow."""
+    heavy = tracks_to_cut("trip_id", heavy_vehicles)
+    keys, firsts = (*VEHICLE, "trip_id"), ("start_ts", "trip_id")
+    return track_segments(samples, keys, multi_tie("vehicle_id"), firsts, window, limit, heavy)
+
+
+def vehicle_facts(
+    states: DataFrame,
+    samples_of: Callable[[DataFrame], DataFrame],
+    window: int = SPEED_WINDOW,
+    limit: int = ROWS_PER_TASK,
+    heavy: HeavyKeys | None = None,
+) -> DataFrame:
+    """Facts per vehicle from the states of its trips, with the id of its earliest trip.
+
+    Trips that interleave are no segments of a track. For their vehicles, and for those only,
+    ``samples_of(vehicles)`` has to find the samples of all trips.
+    """
+    tie = multi_tie("vehicle_id")
+    mixed = checkpointed(interleaved(states, VEHICLE, tie))
+    first = F.col("first.f_trip_id").alias("trip_id")
+    columns = [*VEHICLE, *COUNTED, "distance", *FOUND]
+    if mixed.isEmpty():
+        return segment_facts(states, VEHICLE, tie, window, limit).select(*columns, first)
+    apart = states.join(mixed, "vehicle_id", "left_anti")
+    facts = segment_facts(apart, VEHICLE, tie, window, limit).select(*columns, first)
+    earliest = [F.min(F.struct("start_ts", F.col("trip_id").alias("f_trip_id"))).alias("first")]
+    samples = samples_of(mixed)
+    whole = track_facts(samples, VEHICLE, tie, window, extra=earliest, limit=limit, heavy=heavy)
+    return facts.unionByName(whole.select(*columns, first))
+
+
+def vehicle_result(
+    facts: DataFrame, trips: DataFrame, events: DataFrame, zone: str = "UTC"
+) -> DataFrame:
+    """The result of ``multi_trip_result`` per vehicle from its facts and matched events."""
+    ids = [c for c in TRIP_IDS if c != "vehicle_id"]
+    own = with_trip_distance(trips).select("trip_id", *ids, "trip_dist")
+    return _result(facts.join(own, "trip_id"), event_stats(events, "vehicle_id"), "vehicle_id", zone, None)
+
+
+def multi_trip_score_by_states(
+    trips: DataFrame,
+    microtrips: DataFrame,
+    events: DataFrame,
+    window: int = SPEED_WINDOW,
+    zone: str = "UTC",
+    limit: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The result of ``multi_trip_score`` per vehicle, by way of one state per trip.
+
+    No track is longer than a trip, so that a vehicle with very many trips has no sort of all its
+    samples. What the states came from is not needed again when more trips follow.
+    """
+    own = checkpointed(base_device_trips(latest_trips(trips)).select(*TRIP_COLUMNS))
+    levels = grid_levels(own, "start_ts", "end_ts")
+    heavy = heavy_tracks(microtrips, "vehicle_id", limit)
+    found = matched_samples(own, microtrips, limit, levels, heavy)
+    # Written, as both the search for interleaved trips and the facts start from the states.
+    states = checkpointed(trip_states(found, window, limit, heavy))
+
+    def samples_of(vehicles: DataFrame) -> DataFrame:
+        return found.join(vehicles, "vehicle_id", "left_semi")
+
+    facts = vehicle_facts(states, samples_of, window, limit, heavy)
+    return vehicle_result(facts, own, matched_events(own, events, limit, levels), zone)
+
+
 def multi_tie(by: str) -> tuple[str, ...]:
     """Columns that tell apart the samples of a track of equal time."""
     return SAMPLE_TIE if by == "trip_id" else ("trip_id", *SAMPLE_TIE)
