@@ -3,6 +3,10 @@
 Nothing is kept in streaming state. A batch names the trips to score; their samples and events
 are read from the tables at that moment, so late samples count as soon as the trip comes again,
 and a trip that comes twice gives the same result twice.
+
+``start_multi_score`` reads the samples of all trips of a vehicle whenever one comes.
+``start_vehicle_score`` gives the same result per vehicle, without event rows and exceeded limits,
+from a stored state per trip: a batch reads the samples and events of its own trips only.
 """
 
 from __future__ import annotations
@@ -36,6 +40,9 @@ from tripwright.plans.score import (
     stored_samples,
     tracks_to_cut,
     trip_result,
+    trip_states,
+    vehicle_facts,
+    vehicle_result,
 )
 from tripwright.schemas import SCORE_KEY
 from tripwright.sources.tables import (
@@ -58,6 +65,8 @@ SCORE_SCHEMA = (
 )
 SINGLE = "score"
 MULTI = "score_multi"
+VEHICLES = "score_vehicle"
+PAYLOAD_SCHEMA = "vehicle_id string, trip_id string, payload string"
 
 
 def batch_trips(batch: DataFrame) -> DataFrame:
@@ -187,10 +196,77 @@ def score_multi_batch(
     write_progress(spark, target, MULTI, batch_id, started)
 
 
+def score_vehicle_batch(
+    batch: DataFrame, batch_id: int, root: str, target: str, zone: str = "UTC"
+) -> None:
+    """Bring the results of the batch's vehicles up to date from the states of their trips.
+
+    ``trip_state`` has a row for each trip of each batch, without sums if no sample was found, so
+    that a trip that comes again replaces all that is known of it; ``trip_payload`` has the
+    different event payloads of those runs. Late samples count when their own trip comes again.
+    A vehicle whose trips interleave has no order of segments; the samples of its trips are read.
+    """
+    spark, started = batch.sparkSession, datetime.now(UTC)
+    own = base_device_trips(batch_trips(batch)).drop("base_device_type")
+    with kept(own.where("start_ts <= end_ts")) as own:
+        size = own.count()
+        if size:
+            write_versions(own, target, "scored_trip", batch_id, day_of_trip())
+            vehicles = only(own, "vehicle_id", size)
+            days = days_of_ranges(own)
+            stored = load_table(spark, root, "microtrip_by_vehicle", days, among=vehicles)
+            heavy = heavy_tracks(stored, "vehicle_id")
+            levels = grid_levels(own, "start_ts", "end_ts")
+            samples = matched_samples(own, stored, levels=levels, heavy=heavy)
+            states = trip_states(samples, heavy_vehicles=heavy)
+            every = own.select("vehicle_id", "trip_id").join(states, ["vehicle_id", "trip_id"], "left")
+            write_versions(every, target, "trip_state", batch_id, day_of_trip())
+            events = load_table(spark, root, "event_by_vehicle", days, among=vehicles)
+            found = matched_events(own, events, levels=levels)
+            payloads = found.select("vehicle_id", "trip_id", "payload").distinct()
+            write_versions(payloads, target, "trip_payload", batch_id, day_of_trip())
+
+            trips = current_trips(spark, target, own.schema, vehicles)
+            ddl = columns_ddl(every.schema)
+            known = scan_latest(spark, target, "trip_state", ["trip_id"], ddl, among=vehicles)
+            known = known.drop(BATCH)
+
+            def samples_of(mixed: DataFrame) -> DataFrame:
+                theirs = trips.join(mixed, "vehicle_id", "left_semi")
+                more = load_table(
+                    spark,
+                    root,
+                    "microtrip_by_vehicle",
+                    days_of_ranges(theirs),
+                    among=Among(mixed, "vehicle_id"),
+                )
+                return matched_samples(theirs, more)
+
+            facts = vehicle_facts(known, samples_of)
+            noted = current_payloads(spark, target, vehicles)
+            result = vehicle_result(facts, trips, noted, zone)
+            write_versions(result, target, "vehicle_stat", batch_id, day_of_trip())
+    write_progress(spark, target, VEHICLES, batch_id, started)
+
+
+def columns_ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def current_payloads(spark: SparkSession, target: str, among: Among) -> DataFrame:
+    """Different event payloads of each trip's latest run, for some vehicles."""
+    runs = scan_versions(spark, target, "trip_state", "vehicle_id string, trip_id string")
+    newest = runs.join(among.rows, among.key, "left_semi").groupBy("trip_id")
+    newest = newest.agg(F.max(BATCH).alias(BATCH))
+    rows = scan_versions(spark, target, "trip_payload", PAYLOAD_SCHEMA).drop(DAY)
+    rows = rows.join(among.rows, among.key, "left_semi")
+    return rows.join(newest, ["trip_id", BATCH], "left_semi").drop(BATCH)
+
+
 def current_trips(
     spark: SparkSession, target: str, schema: StructType, among: Among | None = None
 ) -> DataFrame:
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    ddl = columns_ddl(schema)
     return scan_latest(spark, target, "scored_trip", ["trip_id"], ddl, among=among).drop(BATCH)
 
 
@@ -267,3 +343,19 @@ def start_multi_score(
         score_multi_batch(batch, n, root, target, **settings)
 
     return _start(messages, MULTI, checkpoint, trigger, run)
+
+
+def start_vehicle_score(
+    messages: DataFrame,
+    root: str,
+    target: str,
+    checkpoint: str,
+    trigger: dict[str, object] | None = None,
+    **settings: object,
+) -> StreamingQuery:
+    """Run the application that keeps a state per trip; the default trigger is every 3 seconds."""
+
+    def run(batch: DataFrame, n: int) -> None:
+        score_vehicle_batch(batch, n, root, target, **settings)
+
+    return _start(messages, VEHICLES, checkpoint, trigger, run)
