@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, suffix_dedup
 from tripwright.llm.components import components
@@ -172,6 +173,48 @@ def test_signatures_meet_at_four_fifths(size, less, more, seed):
         assert np.intersect1d(jaccard_join.signatures(one, 80), jaccard_join.signatures(other, 80)).size
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 60), st.integers(0, 60), st.sampled_from([80, 90]), st.integers(0, 2**32))
+def test_rarest_shingles_meet_for_every_link(size, less, more, percent, seed):
+    rng = np.random.default_rng(seed)
+    draw = lambda n: rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+    one = np.unique(draw(size))
+    other = np.unique(np.concatenate([rng.permutation(one)[min(less, len(one)) :], draw(more)]))
+    keys, sizes = np.concatenate([one, other]), np.array([len(one), len(other)])
+    power = {k: rng.integers(0, 4) for k in set(keys.tolist())}
+    chosen = jaccard_join.rarest(keys, np.array([power[k] for k in keys.tolist()], np.uint8), sizes, percent)
+    first, second = chosen[chosen < len(one)], chosen[chosen >= len(one)]
+    assert len(first) == len(one) - -(-len(one) * percent // 100) + 1
+    if len(other) and 100 * (common := len(np.intersect1d(one, other))) >= percent * (len(one) + len(other) - common):
+        assert np.intersect1d(keys[first], keys[second]).size
+
+
+def test_common_shingles_count_over_all_chunks(spark):
+    rows = [(k, " ".join(["all of them hold this passage", *(f"w{k}x{j}" for j in range(8))])) for k in range(40)]
+    chunks = spark.createDataFrame([(k // 3, t) for k, t in rows], "chunk long, text string").coalesce(2)
+    found = jaccard_join.common_shingles(jaccard_join.chunk_counts(chunks, 3, 5)).collect()
+    heard = defaultdict(dict)
+    for r in found:
+        heard[r.chunk] |= dict(zip(np.frombuffer(r["keys"], np.uint64).tolist(), r["powers"], strict=True))
+    # four runs of three words that all 40 hold, in each of the 14 chunks
+    assert [sorted(heard[c].values()) for c in range(14)] == [[5] * 4] * 14
+    assert len({frozenset(x) for x in heard.values()}) == 1
+
+
+def test_a_cluster_of_shared_passages_is_cut(spark):
+    passages = [" ".join(f"p{k}w{j}" for j in range(30)) for k in range(3)]
+    own = lambda k: " ".join(f"d{k}w{j}" for j in range(20))
+    rows = [(k, f"{own(k // 2)} {passages[k // 2 % 3]} {'end' if k % 2 else 'last'}") for k in range(0, 60)]
+    rows += [(100 + k, f"{passages[k % 3]} {own(1000 + k)} {passages[(k + 1) % 3]}") for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    base = jaccard_join.described(frame, "doc_id", "text", 3).select("h1", "h2", "id", "t", "n").withColumn("cluster", F.lit(7))
+    cut = jaccard_join.cut_again(frame, base, "doc_id", "text", 3, 90, 500).collect()
+    sizes = Counter(r.cluster for r in cut)
+    assert len(cut) == 60 and set(sizes.values()) == {2}
+    got = jaccard_join.linked_components(frame, block=500).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_components(rows)
+
+
 @pytest.mark.parametrize("block", [1_000_000, 150])
 @pytest.mark.parametrize("shared", [9, None])
 def test_sets_of_one_id_keep_their_links(spark, shared, block):

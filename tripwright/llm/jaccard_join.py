@@ -12,7 +12,11 @@ link that needs one have it.
 1. Signatures go to buckets as packed arrays. Before that a task keeps one set, the least, for each signature among
    the rows it holds, and ties the others to it. A bucket ties the sets that came with one signature to the least of
    them: stars, never all pairs. Of the stars that a set lies in, the centres are tied to the least one.
-2. The components of the stars are clusters: all links lie inside clusters.
+2. The components of the stars are clusters: all links lie inside clusters. A cluster above ``BLOCK_SHINGLES`` is cut
+   again: linked sets have one of their rarest fifth (one minus the similarity) of shingles in common, in any order that
+   is the same for all, so that stars over those shingles hold all its links too. The order goes by the number of sets
+   that hold a shingle, as a power of two, then by hash. Sets are dealt over chunks; a chunk sends each of its different
+   shingles once with its count, and hears of the common ones, so that a shingle that all sets hold is a row a chunk.
 3. Clusters are checked exactly. A cluster above ``BLOCK_SHINGLES`` is dealt over blocks, and each pair of blocks is
    one task, so that no task holds an unbounded group; usual clusters are one block. A task counts common shingles
    through an inverted index, skips what lies in one component already and gives back a spanning forest. Texts of
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import NULL_ID, bounded_batches, partitions, text_bytes, written
+from tripwright.llm.common import NULL_ID, bounded_batches, partitions, removed, text_bytes, written
 from tripwright.llm.components import components
 from tripwright.llm.words import mixed, run_hashes, word_hashes, word_places
 
@@ -45,6 +49,8 @@ BLOCK_SHINGLES = 1_000_000
 #: Signatures that a task holds before it sends them, and that a bucket has on average.
 HELD_SIGNATURES = 500_000
 BUCKET_SIGNATURES = 1_000_000
+#: Shingles that two to this power of sets hold are common; those of a single set come first and tie it to nothing.
+COMMON_POWER = 1
 #: Bytes of text that are hashed at once.
 STRETCH = 1 << 20
 
@@ -144,26 +150,31 @@ def least_of_equal(sigs: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.n
     return sigs[new], sets[new], np.unique(stars, axis=1) if stars.size else stars
 
 
+PACKED = "bucket int, sigs binary, sets binary"
+
+
+def packed(sigs: np.ndarray, sets: np.ndarray, buckets: int) -> pa.Table:
+    """Rows (bucket, sigs, sets) of a task's part, with one set for each signature; bucket -1 has stars."""
+    sigs, least, stars = least_of_equal(sigs, sets)
+    rows = [(-1, stars[0].tobytes(), stars[1].tobytes())] if stars.size else []
+    # signatures ascend, and so do their buckets; the bits that chose the bucket need not be sent
+    cuts = np.searchsorted(bucket_of(sigs, buckets), np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        some = slice(cuts[b], cuts[b + 1])
+        rows.append((b, low_bytes(sigs[some]), least[some].tobytes()))
+    return table_of(rows, {"bucket": pa.int32(), "sigs": pa.binary(), "sets": pa.binary()})
+
+
+def table_of(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.Table:
+    return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())], names=list(kinds))
+
+
 def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int, buckets: int) -> DataFrame:
     """(bucket, sigs, sets) as packed arrays, one set for each signature of a task's part; bucket -1 has stars."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-
-        def sent() -> pa.RecordBatch:
-            sigs, least, stars = least_of_equal(np.concatenate(held), np.concatenate(owners))
-            held.clear()
-            owners.clear()
-            rows = [(-1, stars[0].tobytes(), stars[1].tobytes())] if stars.size else []
-            # signatures ascend, and so do their buckets; the bits that chose the bucket need not be sent
-            cuts = np.searchsorted(bucket_of(sigs, buckets), np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                some = slice(cuts[b], cuts[b + 1])
-                rows.append((b, low_bytes(sigs[some]), least[some].tobytes()))
-            kinds = (pa.int32(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "sigs", "sets"])
-
         count = 0
         for batch in batches:
             for s in sets_of(batch.column(0), shingle):
@@ -172,12 +183,12 @@ def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int
                     owners.append(np.full(len(held[-1]), set_hashes(s)[0]))
                     count += len(held[-1])
                     if count >= HELD_SIGNATURES:
-                        yield sent()
-                        count = 0
+                        yield from packed(np.concatenate(held), np.concatenate(owners), buckets).to_batches()
+                        held, owners, count = [], [], 0
         if held:
-            yield sent()
+            yield from packed(np.concatenate(held), np.concatenate(owners), buckets).to_batches()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(pack, "bucket int, sigs binary, sets binary")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(pack, PACKED)
 
 
 def bucket_of(sigs: np.ndarray, buckets: int) -> np.ndarray:
@@ -222,6 +233,107 @@ def contracted(stars: DataFrame) -> DataFrame:
     return ties.where("a <> b").distinct()
 
 
+def chunk_counts(chunks: DataFrame, shingle: int, buckets: int) -> DataFrame:
+    """(bucket, chunk, keys, counts): different shingles of each chunk, packed, with the number of its sets that hold them."""
+    kinds = {"bucket": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        last = None
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            keys, counts = np.unique(mixed(np.concatenate(held)), return_counts=True)
+            cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+            some = [slice(cuts[b], cuts[b + 1]) for b in range(buckets)]
+            rows = [(b, last, keys[x].tobytes(), counts[x].astype(np.int32).tobytes()) for b, x in enumerate(some) if x.stop > x.start]
+            yield from table_of(rows, kinds).to_batches()
+
+        for batch in batches:
+            for chunk, s in zip(batch.column(0).to_pylist(), sets_of(batch.column(1), shingle), strict=True):
+                if chunk != last and held:
+                    yield from sent()
+                    held = []
+                held.append(s)
+                last = chunk
+        if held:
+            yield from sent()
+
+    return chunks.select("chunk", "text").mapInArrow(count, "bucket int, chunk long, keys binary, counts binary")
+
+
+def common_shingles(counted: DataFrame) -> DataFrame:
+    """(chunk, keys, powers): the common shingles of each chunk and the power of two of the sets, of all chunks, that hold them."""
+    kinds = {"chunk": pa.int64(), "keys": pa.binary(), "powers": pa.binary()}
+
+    def number(table: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, np.int32) for x in table.column("counts").to_pylist()])
+        values, places = np.unique(np.concatenate(keys), return_inverse=True)
+        powers = np.log2(np.bincount(places, weights=counts, minlength=len(values))).astype(np.uint8)[places]
+        rows, at = [], 0
+        for chunk, own in zip(table.column("chunk").to_pylist(), keys, strict=True):
+            power = powers[at : at + len(own)]
+            at += len(own)
+            if (some := power >= COMMON_POWER).any():
+                rows.append((chunk, own[some].tobytes(), power[some].tobytes()))
+        return table_of(rows, kinds)
+
+    return counted.groupBy("bucket").applyInArrow(number, "chunk long, keys binary, powers binary")
+
+
+def rarest(keys: np.ndarray, powers: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Places of the rarest shingles of each set (sets one after another): as many as a linked set may lack, and one."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort([keys, powers, owner])
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    lacking = sizes - -(-sizes * percent // 100)
+    return order[place <= lacking[owner]]
+
+
+def rare_signatures(chunks: DataFrame, common: DataFrame, shingle: int, percent: int, buckets: int) -> DataFrame:
+    """Packed signatures, as of ``packed_signatures``: one for each of the rarest shingles of a set, in its cluster."""
+
+    def pack(texts: pa.Table, heard: pa.Table) -> pa.Table:
+        sets = sets_of(texts.column("text").combine_chunks(), shingle)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        owners, clusters = (np.repeat(np.array(texts.column(c).to_pylist(), np.int64), sizes) for c in ("h1", "cluster"))
+        if not len(owners):
+            return table_of([], {"bucket": pa.int32(), "sigs": pa.binary(), "sets": pa.binary()})
+        keys = mixed(np.concatenate(sets))
+        powers = np.zeros(len(keys), np.uint8)
+        if heard.num_rows:
+            known = np.concatenate([np.frombuffer(x, np.uint64) for x in heard.column("keys").to_pylist()])
+            order = np.argsort(known)
+            known, power = known[order], np.concatenate([np.frombuffer(x, np.uint8) for x in heard.column("powers").to_pylist()])[order]
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            powers = np.where(known[at] == keys, power[at], 0)
+        chosen = rarest(keys, powers, sizes, percent)
+        return packed(mixed(keys[chosen] ^ mixed(clusters[chosen].astype(np.uint64))), owners[chosen], buckets)
+
+    return chunks.groupBy("chunk").cogroup(common.groupBy("chunk")).applyInArrow(pack, PACKED)
+
+
+def cut_again(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, block: int) -> DataFrame:
+    """The same members with clusters above a block cut by rare shingles; what is alone then goes."""
+    large = members.groupBy("cluster").agg(F.sum("n").alias("total")).where(F.col("total") > block)
+    inside = members.join(large.select("cluster"), "cluster", "left_semi")
+    total = inside.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not total:
+        return members
+    chunk = F.pmod(F.xxhash64("h1", "h2"), F.lit(total * 2 // block + 1)).alias("chunk")
+    texts = told_apart(docs, id_col, text_col).dropDuplicates(["id", "t"]).join(inside, ["id", "t"])
+    dealt = texts.select(chunk, "h1", "cluster", "text").repartition(partitions(docs.sparkSession), "chunk")
+    chunks = written(dealt, "chunks", "chunk")
+    common = written(common_shingles(chunk_counts(chunks, shingle, total // BUCKET_SIGNATURES + 1)), "common")
+    buckets = total * (100 - percent) // (100 * BUCKET_SIGNATURES) + 1
+    stars = written(stars_of(rare_signatures(chunks, common, shingle, percent, buckets)), "stars")
+    for table in (chunks, common):
+        removed(table)
+    labels = components(contracted(stars)).select(F.col("node").alias("h1"), F.col("label").alias("cluster"))
+    removed(stars)
+    return members.join(large.select("cluster"), "cluster", "left_anti").unionByName(inside.drop("cluster").join(labels, "h1"))
+
+
 def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, t): rows with one id are told apart by a hash of the text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
@@ -333,6 +445,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     least = base.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "t")).alias("least"), F.max("n").alias("n"))
     copies = least.select("h1", "h2", "least.id", "least.t", "n")
     members = copies.join(clusters.select(F.col("node").alias("h1"), F.col("label").alias("cluster")), "h1")
+    members = cut_again(docs, written(members, "members"), id_col, text_col, shingle, percent, block)
     links = written(links_in_clusters(docs, members, id_col, text_col, shingle, percent, block), "links")
     linked = components(links.unionByName(ties(rows, copies)))
     first = copies.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
