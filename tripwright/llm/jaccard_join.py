@@ -47,12 +47,12 @@ PERCENT = 90
 #: Shingles of one block of a cluster.
 BLOCK_SHINGLES = 1_000_000
 #: Signatures that a task holds before it sends them, and that a bucket has on average.
-HELD_SIGNATURES = 500_000
+HELD_SIGNATURES = 250_000
 BUCKET_SIGNATURES = 1_000_000
 #: Shingles that two to this power of sets hold are common; those of a single set come first and tie it to nothing.
 COMMON_POWER = 1
 #: Bytes of text that are hashed at once.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 
 
 @lru_cache(maxsize=8)
@@ -173,6 +173,7 @@ def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int
     """(bucket, sigs, sets) as packed arrays, one set for each signature of a task's part; bucket -1 has stars."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier stages left in this worker
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         count = 0
