@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import uuid
@@ -44,6 +45,14 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def let_go() -> None:
+    """Give memory that a Python worker no longer uses back to the system; workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share; a temporary one only where the session names none, as in local tests."""
     context = spark.sparkContext

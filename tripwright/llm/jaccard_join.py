@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import NULL_ID, bounded_batches, partitions, removed, text_bytes, written
+from tripwright.llm.common import NULL_ID, bounded_batches, let_go, partitions, removed, text_bytes, written
 from tripwright.llm.components import components
 from tripwright.llm.words import mixed, run_hashes, word_hashes, word_places
 
@@ -48,7 +48,7 @@ PERCENT = 90
 BLOCK_SHINGLES = 1_000_000
 #: Signatures that a task holds before it sends them, and that a bucket has on average.
 HELD_SIGNATURES = 250_000
-BUCKET_SIGNATURES = 1_000_000
+BUCKET_SIGNATURES = 300_000
 #: Shingles that two to this power of sets hold are common; those of a single set come first and tie it to nothing.
 COMMON_POWER = 1
 #: Bytes of text that are hashed at once.
@@ -134,6 +134,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
             hashes = [set_hashes(s) for s in sets]
             columns = [[len(s) for s in sets], [h[0] for h in hashes], [h[1] for h in hashes]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), batch.column(2)], ["id", "n", "h1", "h2", "t"])
+        let_go()
 
     return told_apart(docs, id_col, text_col).mapInArrow(describe, "id long, n long, h1 long, h2 long, t long")
 
@@ -173,7 +174,6 @@ def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int
     """(bucket, sigs, sets) as packed arrays, one set for each signature of a task's part; bucket -1 has stars."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # what earlier stages left in this worker
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         count = 0
@@ -186,8 +186,11 @@ def packed_signatures(docs: DataFrame, text_col: str, shingle: int, percent: int
                     if count >= HELD_SIGNATURES:
                         yield from packed(np.concatenate(held), np.concatenate(owners), buckets).to_batches()
                         held, owners, count = [], [], 0
+                        let_go()
         if held:
             yield from packed(np.concatenate(held), np.concatenate(owners), buckets).to_batches()
+        held, owners = [], []
+        let_go()
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(pack, PACKED)
 
@@ -214,6 +217,7 @@ def stars_of(packed: DataFrame) -> DataFrame:
     def tie(table: pa.Table) -> pa.Table:
         sigs, sets = table.column("sigs").to_pylist(), [np.frombuffer(x, np.int64) for x in table.column("sets").to_pylist()]
         _, _, stars = least_of_equal(np.concatenate([read_low_bytes(x) for x in sigs]), np.concatenate(sets))
+        let_go()
         return pa.table({"a": pa.array(stars[0]), "b": pa.array(stars[1])})
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

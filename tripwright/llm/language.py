@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import bounded_batches, text_bytes, texts_of
+from tripwright.llm.common import bounded_batches, let_go, text_bytes, texts_of
 
 #: Bound of the training sample: rows of each language.
 SAMPLE_ROWS = 300
@@ -216,6 +216,7 @@ def tagged(docs: DataFrame, model: CodeModel, text_col: str = "text") -> DataFra
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         languages, scores = shared.value.decode(pa.array(texts, pa.string(), from_pandas=True))
+        let_go()
         return pd.DataFrame({"lang": languages, "score": scores})
 
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), predict(F.col(f"`{text_col}`")).alias("found"))
