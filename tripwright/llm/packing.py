@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, PairIndexBpe, is_latin
-from tripwright.llm.common import bounded_batches, checkpointed, partitions, texts_of
+from tripwright.llm.common import bounded_batches, checkpointed, let_go, partitions, texts_of
 
 #: How the vocabulary's file cuts lower-case words of characters below U+0100.
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
@@ -40,6 +40,8 @@ SEPARATOR = 2
 CACHE_WORDS = 150_000
 CACHE_PARTS = 400_000
 CACHE_LENGTH = 48
+#: Characters of texts that are encoded at once.
+STRETCH = 1 << 20
 
 
 class WordIds:
@@ -108,6 +110,19 @@ class WordIds:
         return out
 
 
+def stretches(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, some at a time; a longer text stands alone."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > STRETCH:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -119,11 +134,12 @@ def cut_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         encoder = word_ids(path)
         end = np.uint32(SEPARATOR).astype("<u4").tobytes()
         for batch in batches:
             rows, start, length, crc, total, ids = [], [], [], [], [], []
-            for row, encoded in enumerate(encoder.encode(texts_of(batch.column(1)))):
+            for row, encoded in enumerate(x for some in stretches(texts_of(batch.column(1))) for x in encoder.encode(some)):
                 encoded += end
                 n = len(encoded) // 4
                 for at in range(0, n, sequence):
