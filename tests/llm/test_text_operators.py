@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripwright.llm import bpe, fingerprints, language, line_dedup, packing, secrets
 from tripwright.llm.vocabulary import BYTE_BPE, WORD_BPE, vocabulary
@@ -201,6 +202,11 @@ def test_language_cases(odd, none):
     assert language.tagged(odd, model).select("row.*").columns == odd.columns
 
 
+def test_a_filter_on_language_predicts_once(odd):
+    found = language.tagged(odd, language.trained(odd)).where(F.col("lang") != language.UNKNOWN)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_code_words_lie_apart():
     for classes in (2, 3, 4, 5, 9, 40):
         code = language.code_matrix(classes)

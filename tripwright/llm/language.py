@@ -219,5 +219,7 @@ def tagged(docs: DataFrame, model: CodeModel, text_col: str = "text") -> DataFra
         let_go()
         return pd.DataFrame({"lang": languages, "score": scores})
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), predict(F.col(f"`{text_col}`")).alias("found"))
+    # else a filter on the language moves below the struct and predicts every row a second time, in workers of its own
+    once = predict.asNondeterministic()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), once(F.col(f"`{text_col}`")).alias("found"))
     return rows.select("row", F.col("found.lang").alias("lang"), F.col("found.score").alias("score"))
