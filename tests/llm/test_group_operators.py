@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, suffix_dedup
 from tripwright.llm.components import components
-from tripwright.llm.shared_windows import Context
+from tripwright.llm.shared_windows import Context, Contexts, GroupContexts, stretches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -83,6 +85,35 @@ def plain_masks(contexts, width, cut):
     return out
 
 
+def test_contexts_of_a_group_take_little_memory():
+    rng = np.random.default_rng(3)
+    passages = [bytes(rng.integers(97, 123, 400, dtype=np.uint8)).decode() for _ in range(40)]
+    texts = pa.array(["".join(passages[k] for k in rng.permutation(40)) for _ in range(60)], pa.large_string())
+    found, ids = GroupContexts(7), np.arange(60) * 3
+    assert len(list(stretches(suffix_dedup.KIND, texts))) == 1  # makes tables that stay
+    tracemalloc.start()
+    for at, runs, first, cut in stretches(suffix_dedup.KIND, texts):
+        hit = np.arange(len(runs.key))
+        found.add(runs, hit, at + runs.doc, runs.start - first[runs.doc], ids[at + runs.doc], cut, suffix_dedup.LENGTH)
+        del runs, first, cut
+    taken = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    sent, of_doc, places = found.packed()
+    assert (np.diff(of_doc) >= 0).all() and sum(count for _, count, _, _ in sent) == len(found.places)
+    assert taken < 60 * len(of_doc) + 300 * len(found.places)
+    # each context that is sent stands where its first run says, and later equal runs are told to go as a whole
+    contexts = {b: Contexts([row]) for b, *row in sent}
+    seen = set()
+    for doc, start, windows, bucket, place in zip(of_doc.tolist(), *places.tolist(), strict=True):
+        content = texts[doc].as_py()[start : start + windows + suffix_dedup.LENGTH - 1].encode()
+        if place >= 0:
+            assert contexts[bucket].cut(place) == content
+            assert contexts[bucket].least[place] == ids[doc]
+            seen.add(content)
+        else:
+            assert content in seen
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.text("ab", min_size=6, max_size=14), st.integers(0, 5)), min_size=1, max_size=9))
 def test_suffix_sort_on_short_windows(parts):

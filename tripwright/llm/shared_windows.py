@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import NULL_ID, bounded_batches, input_bytes, sha256_hex, text_bytes, written
+from tripwright.llm.common import NULL_ID, bounded_batches, input_bytes, let_go, sha256_hex, text_bytes, written
 from tripwright.llm.words import least_places
 
 #: Text bytes of one group, and of one stretch that is worked on at once.
@@ -138,15 +138,59 @@ def unpacked(data: bytes, size: int) -> bytes:
     return pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True)
 
 
-def packed_contexts(some: list[Context]) -> tuple[int, bytes, bytes]:
-    """(number, units, the rest column by column) of the contexts of one bucket."""
-    columns = (
-        short(np.array([c.key for c in some], np.uint64)),
-        np.array([c.least for c in some], np.int64),
-        np.array([c.windows << 16 | c.anchor for c in some], np.int32),
-        np.array([len(c.units) for c in some], np.int32),
-    )
-    return len(some), packed(c.units for c in some), packed(c.tobytes() for c in columns)
+#: Bytes of a context's key and anchor in front of its units.
+HEAD = 10
+
+
+class GroupContexts:
+    """The different contexts of a group and the runs of its documents, in ascending order of ids.
+
+    A context is one ``bytes``, its key and anchor in front of its units; all else about contexts and runs is in
+    arrays, as a group can have a run for each dozen of its units.
+    """
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
+        self.places: dict[bytes, int] = {}
+        self.columns: list[np.ndarray] = []  # by stretch: key, least id, windows, anchor of contexts that are new in it
+        self.runs: list[np.ndarray] = []  # by stretch: document, start, windows, bucket, context of runs
+        self.owners: list[np.ndarray] = []
+
+    def add(self, runs: Runs, hit: np.ndarray, docs: np.ndarray, starts: np.ndarray, owners: np.ndarray, cut: Callable, width: int) -> None:
+        """Runs at ``hit`` of one stretch, with the documents, the starts inside them and the ids that they have."""
+        if not len(hit):
+            return
+        begin, windows, keys, anchors = runs.start[hit], runs.windows[hit], runs.key[hit], runs.anchor[hit]
+        heads = np.empty((len(hit), HEAD), np.uint8)
+        heads[:, :8] = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
+        heads[:, 8:] = anchors.astype("<u2").view(np.uint8).reshape(-1, 2)
+        head, places, before = heads.tobytes(), self.places, len(self.places)
+        of_run = np.empty(len(hit), np.int64)
+        for k, (a, b) in enumerate(zip(begin.tolist(), (begin + windows + width - 1).tolist(), strict=True)):
+            of_run[k] = places.setdefault(head[k * HEAD : (k + 1) * HEAD] + cut(a, b), len(places))
+        seen, first = np.unique(of_run, return_index=True)
+        new = first[seen >= before]
+        self.columns.append(np.stack([keys[new].view(np.int64), owners[new], windows[new], anchors[new]]))
+        self.runs.append(np.stack([docs, starts, windows, bucket_of(keys, self.buckets), of_run]).astype(np.int32))
+        self.owners.append(owners)
+
+    def packed(self) -> tuple[list[tuple[int, int, bytes, bytes]], np.ndarray, np.ndarray]:
+        """(bucket, number, units, the rest column by column) of each bucket; documents of runs; start, windows, bucket, place of runs."""
+        if not self.runs:
+            return [], np.zeros(0, np.int32), np.zeros((4, 0), np.int32)
+        key, least, windows, anchor = np.concatenate(self.columns, 1)
+        key, heads = key.view(np.uint64), list(self.places)
+        sizes = np.fromiter(map(len, heads), np.int32, len(heads)) - np.int32(HEAD)
+        place = np.zeros(len(heads), np.int32)
+        sent = []
+        for b, at in in_buckets(bucket_of(key, self.buckets), self.buckets):
+            place[at] = np.arange(len(at))
+            columns = (short(key[at]), least[at], (windows[at] << 16 | anchor[at]).astype(np.int32), sizes[at])
+            sent.append((b, len(at), packed(heads[k][HEAD:] for k in at.tolist()), packed(c.tobytes() for c in columns)))
+        runs, owner = np.concatenate(self.runs, 1), np.concatenate(self.owners)
+        # -1: a smaller id of this group has the whole run
+        runs[4] = np.where(owner > least[runs[4]], -1, place[runs[4]])
+        return sent, runs[0], runs[1:]
 
 
 class Contexts:
@@ -268,29 +312,20 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
         ids, column = left.column("id").to_numpy(), concatenated(left.column("text"))
         known = [(np.uint64(b) << np.uint64(32)) | np.frombuffer(a, np.uint32).astype(np.uint64) for b, a in zip(right.column("bucket").to_pylist(), binary(right.column("anchors")), strict=True)]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
-        classes: dict[tuple[int, int, bytes], tuple[int, int]] = {}
-        found: dict[int, list[Context]] = {}
-        runs_by_doc: list[list[tuple[int, int, int, int]]] = [[] for _ in ids]
+        found = GroupContexts(buckets)
         units = np.zeros(len(ids), np.int64)
         for at, runs, first_unit, cut in stretches(kind, column):
             units[at : at + len(first_unit) - 1] = np.diff(first_unit)
-            bucket = bucket_of(runs.key, buckets)
-            full = (bucket.astype(np.uint64) << np.uint64(32)) | short(runs.key).astype(np.uint64)
+            full = (bucket_of(runs.key, buckets).astype(np.uint64) << np.uint64(32)) | short(runs.key).astype(np.uint64)
             hit = np.flatnonzero(among(full, known))
-            for r in hit:
-                doc, start, windows = int(runs.doc[r]), int(runs.start[r]), int(runs.windows[r])
-                key, own = int(runs.key[r]), int(ids[at + doc])
-                content = cut(start, start + windows + kind.width - 1)
-                b = int(bucket[r])
-                have = classes.get((key, int(runs.anchor[r]), content))
-                if have is None:
-                    some = found.setdefault(b, [])
-                    have = classes[key, int(runs.anchor[r]), content] = (len(some), own)
-                    some.append(Context(key, content, own, windows, int(runs.anchor[r])))
-                place_of = -1 if own > have[1] else have[0]  # -1: a smaller id of this group has the whole run
-                runs_by_doc[at + doc].append((start - int(first_unit[doc]), windows, b, place_of))
+            doc = runs.doc[hit]
+            found.add(runs, hit, at + doc, runs.start[hit] - first_unit[doc], ids[at + doc], cut, kind.width)
         rows = len(ids)
-        sent = [packed_contexts(some) for some in found.values()]
+        sent, of_doc, places = found.packed()
+        cuts = np.searchsorted(of_doc, np.arange(rows + 1)).tolist()
+        packed_runs = [packed([places[:, a:b].tobytes()]) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
+        del found
+        let_go()
         nothing, none = [None] * len(sent), [None] * rows
         return pa.table(
             {
@@ -298,11 +333,11 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
                 "id": pa.array([*ids.tolist(), *nothing], pa.int64()),
                 "t": pa.array([*left.column("t").to_pylist(), *nothing], pa.int64()),
                 "n_units": pa.array([*units.tolist(), *nothing], pa.int64()),
-                "count": pa.array([*map(len, runs_by_doc), *(x[0] for x in sent)], pa.int32()),
-                "runs": pa.array([*(packed([np.array(r, np.int32).T.tobytes()]) if r else None for r in runs_by_doc), *nothing], pa.binary()),
-                "bucket": pa.array([*none, *found], pa.int32()),
-                "content": pa.array([*none, *(x[1] for x in sent)], pa.binary()),
-                "rest": pa.array([*none, *(x[2] for x in sent)], pa.binary()),
+                "count": pa.array([*np.diff(cuts).tolist(), *(x[1] for x in sent)], pa.int32()),
+                "runs": pa.array([*packed_runs, *nothing], pa.binary()),
+                "bucket": pa.array([*none, *(x[0] for x in sent)], pa.int32()),
+                "content": pa.array([*none, *(x[2] for x in sent)], pa.binary()),
+                "rest": pa.array([*none, *(x[3] for x in sent)], pa.binary()),
             }
         )
 
@@ -313,12 +348,15 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
         bucket = Contexts(zip(*(table.column(c).to_pylist() for c in ("count", "content", "rest")), strict=True))
         masks = np.split(bucket.masks(kind.resolve), np.cumsum(bucket.counts)[:-1])
         data = pa.array([packed([m.tobytes()]) for m in masks], pa.binary())
+        del bucket, masks
+        let_go()
         return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "count": table.column("count"), "masks": data})
 
     sent = both.where("id is null").select("grp", "bucket", "count", "content", "rest")
     told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, count int, masks binary")
 
     def applied(left: pa.Table, right: pa.Table) -> pa.Table:
+        let_go()
         masks, runs = {}, {}
         for i, t, bucket, count, n, data in zip(*(right.column(c).to_pylist() for c in ("id", "t", "bucket", "count", "n_units", "data")), strict=True):
             if bucket is not None:
