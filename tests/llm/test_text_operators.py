@@ -70,6 +70,12 @@ def test_packing_holds_each_id_once(request, which):
         assert len(sequences) <= 1.03 * sum(len(x) for _, x in ids) / 4096 + 1
 
 
+def test_a_batch_is_encoded_at_once():
+    texts = [f"{k} " + "word " * 200 for k in range(3_000)]
+    assert [len(x) for x in packing.stretches(texts)] == [3_000]
+    assert [len(x) for x in packing.stretches(["a" * 3_000_000, "b" * 3_000_000, ""])] == [1, 2]
+
+
 def test_patterns_hold_the_histogram():
     rng = np.random.default_rng(5)
     histogram = dict(Counter(rng.integers(1, 4097, 20_000).tolist()) | {7: 90_000, 4096: 40})

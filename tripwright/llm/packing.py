@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, PairIndexBpe, is_latin
-from tripwright.llm.common import bounded_batches, checkpointed, let_go, partitions, texts_of
+from tripwright.llm.common import BATCH_BYTES, bounded_batches, checkpointed, let_go, partitions, texts_of
 
 #: How the vocabulary's file cuts lower-case words of characters below U+0100.
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
@@ -40,8 +40,9 @@ SEPARATOR = 2
 CACHE_WORDS = 150_000
 CACHE_PARTS = 400_000
 CACHE_LENGTH = 48
-#: Characters of texts that are encoded at once.
-STRETCH = 1 << 20
+#: Characters of texts that are encoded at once, a whole batch as a rule: a call goes through all merge ranks that its new
+#: words use, so that four calls cost nearly four times as much as one.
+STRETCH = BATCH_BYTES
 
 
 class WordIds:
@@ -77,11 +78,16 @@ class WordIds:
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words of characters below U+0100 without special tokens."""
-        cut = [tuple(PARTS.findall(w.lower())) for w in words]
+        cut: list[str] = []  # flat: many small lists would be gone through by the garbage collector again and again
+        cuts = [0]
+        for w in words:
+            cut += PARTS.findall(w.lower())
+            cuts.append(len(cut))
         parts = self.parts
-        new = list(set().union(*cut) - parts.keys())
+        new = list(set(cut) - parts.keys())
         parts.update(zip(new, self.bpe.encode_words([x.encode() for x in new]), strict=True))
-        out = {w: b"".join([parts[x] for x in some]) if len(some) != 1 else parts[some[0]] for w, some in zip(words, cut, strict=True)}
+        ids = [parts[x] for x in cut]
+        out = {w: b"".join(ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
         for x in new[max(0, len(new) - max(0, len(parts) - CACHE_PARTS)) :]:
             del parts[x]
         return out
@@ -157,6 +163,8 @@ def cut_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 columns.append(pa.array(ids, pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.parts.clear()  # the worker lives on and serves other stages
+        let_go()
 
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
