@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, suffix_dedup
 from tripwright.llm.components import components
-from tripwright.llm.shared_windows import Context, Contexts, GroupContexts, stretches
+from tripwright.llm.shared_windows import Context, Contexts, GroupContexts, bucket_of, contexts_of, stretches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -336,3 +336,55 @@ def test_passages_in_texts_above_a_mebibyte(spark, at):
     rows = [(1, passage), (2, words[: at // 6 * 6] + passage + words[at // 6 * 6 - 1 :])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in lempel_ziv_dedup.drop_repeated_words(frame).collect()} == {1: 0, 2: 40}
+
+
+def test_a_group_holds_a_part_of_its_contexts_at_once():
+    rng = np.random.default_rng(5)
+    texts = pa.array([bytes(rng.integers(97, 123, 20_000, dtype=np.uint8)).decode() for _ in range(40)] * 2, pa.large_string())
+    ids, buckets, width = np.arange(80) * 3, 32, suffix_dedup.LENGTH
+    held = [(at, runs.at(np.arange(len(runs.key))), first, cut) for at, runs, first, cut in stretches(suffix_dedup.KIND, texts)]
+    whole = GroupContexts(buckets)
+    tracemalloc.start()
+    for at, runs, first, cut in held:
+        whole.add(runs, np.arange(len(runs.key)), at + runs.doc, runs.start - first[runs.doc], ids[at + runs.doc], cut, width)
+    sent, of_doc, places = whole.packed()
+    del whole
+    at_once = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    in_lots = contexts_of(held, ids, buckets, width)
+    assert tracemalloc.get_traced_memory()[1] - before < 0.6 * at_once
+    # the same is sent, and the same runs are told the same
+    assert in_lots[0] == sent
+    told = [sorted(zip(doc.tolist(), *x.tolist(), strict=True)) for doc, x in ((of_doc, places), in_lots[1:])]
+    assert told[0] == told[1]
+    # unpacking a bucket holds its units once
+    rows = [row for _, *row in sent]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    bucket = Contexts(rows)
+    assert tracemalloc.get_traced_memory()[1] - before < 1.3 * len(bucket.units) + 40 * len(bucket.keys)
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("kind", [suffix_dedup.KIND, lempel_ziv_dedup.KIND])
+def test_buckets_of_anchors_are_even(kind):
+    rng = np.random.default_rng(8)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 10**6, 20_000).tolist()))], pa.large_string())
+    ((_, runs, _, _),) = stretches(kind, texts)
+    held = np.bincount(bucket_of(runs.key, 40), minlength=40)
+    assert held.max() < 2 * held.mean()
+
+
+def test_grams_are_hashed_a_part_at_a_time():
+    data = np.random.default_rng(6).integers(97, 123, 1 << 20, dtype=np.uint8)
+    suffix_dedup.byte_grams(data, np.array([0, len(data)]))  # makes tables that stay
+    prefix, inverse = suffix_dedup.prefix_hashes(data)
+    n = len(data) - suffix_dedup.GRAM + 1
+    want = suffix_dedup.mixed((prefix[suffix_dedup.GRAM :] - prefix[:n]) * inverse[:n])
+    tracemalloc.start()
+    grams, _, cut = suffix_dedup.byte_grams(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (grams == want).all() and cut(5, 40) == data[5:40].tobytes()
+    assert peak < 2 * want.nbytes

@@ -28,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import NULL_ID, bounded_batches, input_bytes, let_go, sha256_hex, text_bytes, written
-from tripwright.llm.words import least_places
+from tripwright.llm.words import least_places, mixed
 
 #: Text bytes of one group, and of one stretch that is worked on at once.
 GROUP_BYTES = 8 << 20
 STRETCH = 1 << 20
 #: Contexts that a bucket hands to ``resolve`` at once, which bounds what it holds; one anchor stays whole.
 RESOLVED_AT_ONCE = 4_000
+#: Lots in which a group works its buckets off, which bounds the contexts that it holds; anchors compared at once.
+LOTS = 4
+COMPARED_AT_ONCE = 20_000
 
 
 @dataclass(frozen=True)
@@ -73,6 +76,11 @@ class Runs:
     key: np.ndarray
     anchor: np.ndarray
 
+    def at(self, places: np.ndarray) -> Runs:
+        """Some of the runs, in half the space."""
+        doc, start, windows, anchor = (x[places].astype(np.int32) for x in (self.doc, self.start, self.windows, self.anchor))
+        return Runs(doc, start, windows, self.key[places], anchor)
+
 
 def runs_of(kind: WindowKind, grams: np.ndarray, first: np.ndarray) -> Runs:
     """Runs of the texts of one stretch; starts count from the stretch."""
@@ -86,7 +94,8 @@ def runs_of(kind: WindowKind, grams: np.ndarray, first: np.ndarray) -> Runs:
     begin = np.flatnonzero(np.diff(anchor, prepend=-1))
     start = at[begin]
     windows = np.diff(np.append(begin, len(at)))
-    return Runs(np.searchsorted(first, start, "right") - 1, start, windows, grams[anchor[begin]], anchor[begin] - start)
+    # a least hash is small: mixed again, keys are even over the buckets
+    return Runs(np.searchsorted(first, start, "right") - 1, start, windows, mixed(grams[anchor[begin]]), anchor[begin] - start)
 
 
 def stretches(kind: WindowKind, texts: pa.Array) -> Iterator[tuple[int, Runs, np.ndarray, Callable]]:
@@ -193,30 +202,55 @@ class GroupContexts:
         return sent, runs[0], runs[1:]
 
 
+def contexts_of(held: list[tuple[int, Runs, np.ndarray, Callable]], ids: np.ndarray, buckets: int, width: int) -> tuple[list, np.ndarray, np.ndarray]:
+    """``GroupContexts.packed`` of a group, given as (first document, runs, first units, cut) of its stretches, a lot of buckets at a time."""
+    sent: list[tuple[int, int, bytes, bytes]] = []
+    docs, places = [np.zeros(0, np.int32)], [np.zeros((4, 0), np.int32)]
+    for lot in range(LOTS):
+        found = GroupContexts(buckets)
+        for at, runs, first, cut in held:
+            hit = np.flatnonzero(bucket_of(runs.key, buckets) * LOTS // buckets == lot)
+            doc = runs.doc[hit]
+            found.add(runs, hit, at + doc, runs.start[hit] - first[doc], ids[at + doc], cut, width)
+        some, doc, place = found.packed()
+        sent += some
+        docs.append(doc)
+        places.append(place)
+    doc = np.concatenate(docs)
+    order = np.argsort(doc, kind="stable")
+    return sent, doc[order], np.concatenate(places, 1)[:, order]
+
+
 class Contexts:
     """The contexts of one bucket, as arrays over their joined units; a context is an object only while it is resolved.
 
     31 bits of a key are enough to hold those of a bucket together, as their units decide.
     """
 
-    def __init__(self, rows: Iterable[tuple[int, bytes, bytes]]) -> None:
+    def __init__(self, rows: Iterable[tuple[int, bytes | pa.Buffer, bytes | pa.Buffer]]) -> None:
         columns: list[list[np.ndarray]] = [[], [], [], []]
-        units = []
+        contents = []
         self.counts = []
         for count, content, rest in rows:
             data, at = unpacked(rest, count * 20), 0
             for column, kind in zip(columns, (np.uint32, np.int64, np.int32, np.int32), strict=True):
                 column.append(np.frombuffer(data, kind, count, at))
                 at += count * np.dtype(kind).itemsize
-            units.append(unpacked(content, int(columns[3][-1].sum())))
+            contents.append(content)
             self.counts.append(count)
+        lengths = [int(x.sum()) for x in columns[3]]
         self.keys, self.least, self.shape, sizes = map(np.concatenate, columns)
-        self.units = b"".join(units)
+        # unpacked one after another into their place, so that no unit is held twice
+        self.units = memoryview(bytearray(sum(lengths)))
+        at = 0
+        for content, length in zip(contents, lengths, strict=True):
+            self.units[at : at + length] = unpacked(content, length)
+            at += length
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
 
     def cut(self, place: int) -> bytes:
-        return self.units[self.starts[place] : self.ends[place]]
+        return self.units[self.starts[place] : self.ends[place]].tobytes()
 
     def context(self, place: int) -> Context:
         shape = int(self.shape[place])
@@ -230,17 +264,19 @@ class Contexts:
         new[1:] = keys[1:] != keys[:-1]
         begin = np.flatnonzero(new)
         lows, highs = np.minimum.reduceat(shape, begin), np.maximum.reduceat(shape, begin)
-        starts, ends, units = self.starts[order].tolist(), self.ends[order].tolist(), self.units
-        cuts = [*begin.tolist(), len(order)]
-        equal = lows == highs
-        for g in np.flatnonzero(equal).tolist():
-            at = cuts[g]
-            one = units[starts[at] : ends[at]]
-            for p in range(at + 1, cuts[g + 1]):
-                if units[starts[p] : ends[p]] != one:
-                    equal[g] = False
-                    break
+        units, cuts = self.units.obj, np.append(begin, len(order))
         sizes = np.diff(cuts)
+        equal = lows == highs
+        several = np.flatnonzero(equal & (sizes > 1))
+        for some in (several[k : k + COMPARED_AT_ONCE] for k in range(0, len(several), COMPARED_AT_ONCE)):
+            base, stop = int(cuts[some[0]]), int(cuts[some[-1] + 1])
+            starts, ends = self.starts[order[base:stop]].tolist(), self.ends[order[base:stop]].tolist()
+            for g, at, to in zip(some.tolist(), (cuts[some] - base).tolist(), (cuts[some + 1] - base).tolist(), strict=True):
+                one = units[starts[at] : ends[at]]
+                for p in range(at + 1, to):
+                    if units[starts[p] : ends[p]] != one:
+                        equal[g] = False
+                        break
         gone = np.repeat(equal, sizes) & (least > np.repeat(np.minimum.reduceat(least, begin), sizes))
         out = np.zeros(len(order), np.uint64)
         out[order[gone]] = (np.uint64(1) << (shape[gone] >> 16).astype(np.uint64)) - np.uint64(1)
@@ -312,26 +348,26 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
         ids, column = left.column("id").to_numpy(), concatenated(left.column("text"))
         known = [(np.uint64(b) << np.uint64(32)) | np.frombuffer(a, np.uint32).astype(np.uint64) for b, a in zip(right.column("bucket").to_pylist(), binary(right.column("anchors")), strict=True)]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
-        found = GroupContexts(buckets)
+        held: list[tuple[int, Runs, np.ndarray, Callable]] = []
         units = np.zeros(len(ids), np.int64)
         for at, runs, first_unit, cut in stretches(kind, column):
             units[at : at + len(first_unit) - 1] = np.diff(first_unit)
             full = (bucket_of(runs.key, buckets).astype(np.uint64) << np.uint64(32)) | short(runs.key).astype(np.uint64)
             hit = np.flatnonzero(among(full, known))
-            doc = runs.doc[hit]
-            found.add(runs, hit, at + doc, runs.start[hit] - first_unit[doc], ids[at + doc], cut, kind.width)
+            held.append((at, runs.at(hit), first_unit, cut))
+        del known
         rows = len(ids)
-        sent, of_doc, places = found.packed()
+        sent, of_doc, places = contexts_of(held, ids, buckets, kind.width)
         cuts = np.searchsorted(of_doc, np.arange(rows + 1)).tolist()
         packed_runs = [packed([places[:, a:b].tobytes()]) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
-        del found
-        let_go()
+        hashes = left.column("t").to_pylist()
+        del left, column, held, of_doc, places
         nothing, none = [None] * len(sent), [None] * rows
-        return pa.table(
+        out = pa.table(
             {
                 "grp": pa.array([grp] * (rows + len(sent)), pa.int32()),
                 "id": pa.array([*ids.tolist(), *nothing], pa.int64()),
-                "t": pa.array([*left.column("t").to_pylist(), *nothing], pa.int64()),
+                "t": pa.array([*hashes, *nothing], pa.int64()),
                 "n_units": pa.array([*units.tolist(), *nothing], pa.int64()),
                 "count": pa.array([*np.diff(cuts).tolist(), *(x[1] for x in sent)], pa.int32()),
                 "runs": pa.array([*packed_runs, *nothing], pa.binary()),
@@ -340,12 +376,16 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
                 "rest": pa.array([*none, *(x[3] for x in sent)], pa.binary()),
             }
         )
+        del sent, packed_runs
+        let_go()
+        return out
 
     schema = "grp int, id long, t long, n_units long, count int, runs binary, bucket int, content binary, rest binary"
     both = written(texts.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(contexts, schema), "contexts")
 
     def decided(table: pa.Table) -> pa.Table:
-        bucket = Contexts(zip(*(table.column(c).to_pylist() for c in ("count", "content", "rest")), strict=True))
+        let_go()
+        bucket = Contexts(zip(table.column("count").to_pylist(), *((x.as_buffer() for x in table.column(c)) for c in ("content", "rest")), strict=True))
         masks = np.split(bucket.masks(kind.resolve), np.cumsum(bucket.counts)[:-1])
         data = pa.array([packed([m.tobytes()]) for m in masks], pa.binary())
         del bucket, masks

@@ -27,12 +27,16 @@ from tripwright.llm.words import letter_values, mixed, power_tables
 
 LENGTH = 50
 GRAM = 24
+#: Grams that are hashed at once; a gram's hash does not depend on where the hashing begins.
+HASHED_AT_ONCE = 1 << 17
 
 
 def byte_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
-    prefix, inverse = prefix_hashes(data)
-    n = max(0, len(data) - GRAM + 1)
-    grams = mixed((prefix[GRAM : GRAM + n] - prefix[:n]) * inverse[:n])
+    grams = np.empty(max(0, len(data) - GRAM + 1), np.uint64)
+    for at in range(0, len(grams), HASHED_AT_ONCE):
+        n = min(HASHED_AT_ONCE, len(grams) - at)
+        prefix, inverse = prefix_hashes(data[at : at + n + GRAM - 1])
+        grams[at : at + n] = mixed((prefix[GRAM : GRAM + n] - prefix[:n]) * inverse[:n])
     whole = data.tobytes()
     return grams, offsets, lambda a, b: whole[a:b]
 
