@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, suffix_dedup
+from tripwright.llm.common import written
 from tripwright.llm.components import components
 from tripwright.llm.shared_windows import Context, Contexts, GroupContexts, bucket_of, contexts_of, stretches
 
@@ -388,3 +389,19 @@ def test_grams_are_hashed_a_part_at_a_time():
     tracemalloc.stop()
     assert (grams == want).all() and cut(5, 40) == data[5:40].tobytes()
     assert peak < 2 * want.nbytes
+
+
+def test_a_round_of_components_joins_each_edge_once(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df.columns, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return written(df, name)
+
+    monkeypatch.setattr("tripwright.llm.components.written", kept)
+    edges = [(k, k + 1) for k in range(3)]
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(4), 0)
+    rounds = [x for x in plans if x[0] == "labels"][1:]
+    # the jump's two sides have the same labels, each with the offers and the hooks of one join; the old label needs none
+    assert rounds and all("old" in columns and joins <= 5 for _, columns, joins in rounds)
