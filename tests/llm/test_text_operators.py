@@ -76,6 +76,41 @@ def test_a_batch_is_encoded_at_once():
     assert [len(x) for x in packing.stretches(["a" * 3_000_000, "b" * 3_000_000, ""])] == [1, 2]
 
 
+def test_a_text_is_cut_as_a_whole_and_a_part_merged_once(monkeypatch):
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def findall(self, text):
+            self.calls += 1
+            return self.inner.findall(text)
+
+    tok, own = library(WORD_BPE), packing.WordIds(vocabulary(WORD_BPE))
+    cut, merged, encode = Counted(packing.PARTS), [], own.bpe.encode_words
+    monkeypatch.setattr(packing, "PARTS", cut)
+    monkeypatch.setattr(own.bpe, "encode_words", lambda words: merged.extend(words) or encode(words))
+    first = ["it's Straße, l'été 1234!", "don't we'LL\n\tx.y  o'clock 's't\xa0\x85\x0bÆ\xb5\xaa", ""]
+    later = ["Été (it's) straße? l'x'clock.", "we'll... 21 'SX", "été \u0442\u0435\u0441\u0442\u2003don't e\u0301", "don't <|endoftext|>x", "y" * 60 + " o"]
+    for texts in (first, later):
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert cut.calls <= len(first) + 3
+    assert len(merged) == len(set(merged))
+
+
+def test_caches_of_parts_and_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_PARTS", 6)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 4)
+    tok, own = library(WORD_BPE), packing.WordIds(vocabulary(WORD_BPE))
+    for k in range(3):
+        texts = [f"{a}{'bcd'[k]}{b}, {a * 50}" for a in "xyz" for b in "uvw"] + [f"\u0436{a}{k} \u0436" for a in "abcdef"]
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(own.parts) <= 6 and len(own.words) <= 4 and max(map(len, own.parts)) <= packing.CACHE_LENGTH
+        own.shrink()
+        assert len(own.parts) + len(own.words) <= 4
+
+
 def test_patterns_hold_the_histogram():
     rng = np.random.default_rng(5)
     histogram = dict(Counter(rng.integers(1, 4097, 20_000).tolist()) | {7: 90_000, 4096: 40})

@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from tripwright.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, PairIndexBpe, is_latin
 from tripwright.llm.common import BATCH_BYTES, bounded_batches, checkpointed, let_go, partitions, texts_of
 
-#: How the vocabulary's file cuts lower-case words of characters below U+0100.
-PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
+#: How the vocabulary's file cuts lower-case texts of characters below U+0100; letters come first because most parts are letters.
+PARTS = re.compile(f"[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^{LATIN_SPACES}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
 SEQUENCE = 4096
 SEPARATOR = 2
-#: Words kept per worker, as they stand and as their parts; a part that is not known costs more than a word.
-CACHE_WORDS = 150_000
+#: Parts of texts kept per worker during a task; words of other texts, and after a task both together.
 CACHE_PARTS = 400_000
+CACHE_WORDS = 150_000
 CACHE_LENGTH = 48
 #: Characters of texts that are encoded at once, a whole batch as a rule: a call goes through all merge ranks that its new
 #: words use, so that four calls cost nearly four times as much as one.
@@ -46,17 +46,18 @@ STRETCH = BATCH_BYTES
 
 
 class WordIds:
-    """Ids of texts as the public tokenizers library gives them, remembered per white-space word in bounded caches.
+    """Ids of texts as the public tokenizers library gives them, remembered in bounded caches.
 
     The normaliser composes characters, folds runs of white space and lowers letters, and no token reaches over
-    white space, so that a text's ids are those of its words one after another. Words of characters below U+0100
-    are cut by the public pattern and merged by ``PairIndexBpe``; the library itself encodes all others.
+    white space or out of a part that the public pattern cuts. Texts of characters below U+0100 are cut by that
+    pattern as a whole, and their parts are merged by ``PairIndexBpe``; the library itself encodes the white-space
+    words of all others.
     """
 
     def __init__(self, path: str) -> None:
         self.path = path
         self.bpe = PairIndexBpe(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
 
     @cached_property
@@ -76,45 +77,36 @@ class WordIds:
         cuts = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
         return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of characters below U+0100 without special tokens."""
-        cut: list[str] = []  # flat: many small lists would be gone through by the garbage collector again and again
-        cuts = [0]
-        for w in words:
-            cut += PARTS.findall(w.lower())
-            cuts.append(len(cut))
-        parts = self.parts
-        new = list(set(cut) - parts.keys())
-        parts.update(zip(new, self.bpe.encode_words([x.encode() for x in new]), strict=True))
-        ids = [parts[x] for x in cut]
-        out = {w: b"".join(ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
-        for x in new[max(0, len(new) - max(0, len(parts) - CACHE_PARTS)) :]:
-            del parts[x]
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         plain = [is_latin(t) and not any(s in t for s in self.bpe.special) for t in texts]
-        known = self.cache
-        found = [list(map(known.get, words)) for words in pieces]
-        easy: set[str] = set()
-        rest: set[str] = set()
-        for words, ids, simple in zip(pieces, found, plain, strict=True):
-            if None in ids:
-                (easy if simple else rest).update([w for w, x in zip(words, ids, strict=True) if x is None])
-        others = list(rest)
-        learned = self.learn(list(easy))
-        for at in range(0, len(others), 5_000):
-            learned |= zip(others[at : at + 5_000], self.by_library(others[at : at + 5_000]), strict=True)
-        out = [
-            b"".join([learned[w] if x is None else x for w, x in zip(words, ids, strict=True)]) if None in ids else b"".join(ids)
-            for words, ids in zip(pieces, found, strict=True)
+        cut = [
+            PARTS.findall(t.lower()) if simple else t.replace("\n", " ").replace("\t", " ").split(" ")
+            for t, simple in zip(texts, plain, strict=True)
         ]
-        room = CACHE_WORDS - len(known)
-        if room > 0:  # the common words come early
-            known.update(islice(((w, x) for w, x in learned.items() if len(w) <= CACHE_LENGTH), room))
+        parts, words = self.parts, self.words
+        new = list(set().union(*(x for x, simple in zip(cut, plain, strict=True) if simple)).difference(parts))
+        parts.update(zip(new, self.bpe.encode_words([x.encode() for x in new]), strict=True))
+        others = list(set().union(*(x for x, simple in zip(cut, plain, strict=True) if not simple)).difference(words))
+        for at in range(0, len(others), 5_000):
+            words.update(zip(others[at : at + 5_000], self.by_library(others[at : at + 5_000]), strict=True))
+        out = [b"".join(map((parts if simple else words).__getitem__, x)) for x, simple in zip(cut, plain, strict=True)]
+        bounded(parts, new, CACHE_PARTS)
+        bounded(words, others, CACHE_WORDS)
         return out
 
+    def shrink(self) -> None:
+        """Keep the first parts only, which are the common ones, and no more than the words leave room for."""
+        self.parts = dict(islice(self.parts.items(), max(0, CACHE_WORDS - len(self.words))))
+
+
+def bounded(known: dict[str, bytes], new: list[str], most: int) -> None:
+    """Drop what is long of the new entries, and the last of the others above ``most``: the common ones come early."""
+    for x in new:
+        if len(x) > CACHE_LENGTH:
+            del known[x]
+    while len(known) > most:
+        known.popitem()
+
 
 def stretches(texts: list[str]) -> Iterator[list[str]]:
     """Texts in order, some at a time; a longer text stands alone."""
@@ -163,7 +155,7 @@ def cut_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 columns.append(pa.array(ids, pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
-        encoder.parts.clear()  # the worker lives on and serves other stages
+        encoder.shrink()  # the worker lives on and serves other stages
         let_go()
 
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
