@@ -14,7 +14,7 @@ tables; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from itertools import groupby
 
 import numpy as np
@@ -79,8 +79,9 @@ class ReferenceBlock:
         return mask
 
 
-def resolve(contexts: list[Context], length: int = LENGTH) -> list[int]:
+def resolve(contexts: Sequence[Context], length: int = LENGTH) -> list[int]:
     """Removed windows of contexts, by parsing each against those with smaller ids."""
+    contexts = list(contexts)
     masks = [0] * len(contexts)
     order = sorted(range(len(contexts)), key=lambda p: (contexts[p].key, contexts[p].least))
     for _, places in groupby(order, key=lambda p: contexts[p].key):

@@ -19,7 +19,7 @@ compared by hash, contexts by their units, so that equal hashes alone remove not
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -280,16 +280,38 @@ class Contexts:
         gone = np.repeat(equal, sizes) & (least > np.repeat(np.minimum.reduceat(least, begin), sizes))
         out = np.zeros(len(order), np.uint64)
         out[order[gone]] = (np.uint64(1) << (shape[gone] >> 16).astype(np.uint64)) - np.uint64(1)
-        rest: list[int] = []
-        differing = np.flatnonzero(~equal).tolist()
+        rest: list[np.ndarray] = []
+        differing, held = np.flatnonzero(~equal).tolist(), 0
         for g in differing:
-            rest += order[cuts[g] : cuts[g + 1]].tolist()
-            if len(rest) >= RESOLVED_AT_ONCE or g == differing[-1]:  # anchors are independent of each other
-                out[rest] = np.array(resolve([self.context(p) for p in rest]), np.uint64)
+            rest.append(order[cuts[g] : cuts[g + 1]])
+            held += len(rest[-1])
+            if held >= RESOLVED_AT_ONCE or g == differing[-1]:  # anchors are independent of each other
+                places = np.concatenate(rest)
+                out[places] = np.array(resolve(Chosen(self, places)), np.uint64)
                 rest.clear()
+                held = 0
         return out
 
 
+class Chosen(Sequence):
+    """Some contexts of a bucket: objects one by one, arrays all together."""
+
+    def __init__(self, bucket: Contexts, places: np.ndarray) -> None:
+        self.bucket, self.places = bucket, places
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, k: int) -> Context:
+        return self.bucket.context(int(self.places[k]))
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """Units of the bucket, and starts in them, keys, least ids, windows and places of anchors."""
+        bucket, at = self.bucket, self.places
+        shape = bucket.shape[at].astype(np.int64)
+        return np.frombuffer(bucket.units, np.uint8), bucket.starts[at], bucket.keys[at].astype(np.uint64), bucket.least[at], shape >> 16, shape & 0xFFFF
+
+
 def concatenated(column: pa.ChunkedArray) -> pa.Array:
     """One array of a column of strings, with long offsets."""
     column = column.cast(pa.large_string())
