@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, suffix_dedup
+from tripwright.llm import hnsw, jaccard_join, lempel_ziv_dedup, shared_windows, suffix_dedup
 from tripwright.llm.common import written
 from tripwright.llm.components import components
 from tripwright.llm.shared_windows import Context, Contexts, GroupContexts, bucket_of, concatenated, contexts_of, stretches
@@ -167,6 +167,25 @@ def test_windows_with_one_tag_are_told_apart_by_their_bytes(monkeypatch):
     assert suffix_dedup.resolve(contexts) == whole and all(whole[60:])
 
 
+@pytest.mark.parametrize("operator", [suffix_dedup.drop_repeated_bytes, lempel_ziv_dedup.drop_repeated_words])
+def test_many_groups_send_fewer_rows(some, monkeypatch, operator):
+    assert [shared_windows.bucket_count(n) for n in (1, 21, 105, 1_230)] == [1, 21, 96, 410]
+    whole = sorted(map(tuple, operator(some).drop("kept").collect()), key=repr)
+    monkeypatch.setattr(shared_windows, "LEAST_BUCKETS", 2)
+    kept, sent = shared_windows.written, {}
+
+    def recorded(df, name):
+        sent[name] = kept(df, name)
+        return sent[name]
+
+    monkeypatch.setattr(shared_windows, "written", recorded)
+    assert sorted(map(tuple, operator(some, group_bytes=30_000).drop("kept").collect()), key=repr) == whole
+    groups, buckets = (sent["contexts"].where("count is not null").agg(F.countDistinct(x)).first()[0] for x in ("grp", "bucket"))
+    assert groups > 5 and buckets < groups
+    # the answers are written, and so the contexts' shuffle let go, before texts are shuffled again
+    assert sent["masks"].count() == sent["contexts"].where("bucket is not null").count()
+
+
 def test_suffix_sort_order_and_collisions():
     rng = np.random.default_rng(3)
     text = bytes(rng.integers(97, 99, 600).tolist())

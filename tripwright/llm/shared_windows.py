@@ -13,8 +13,9 @@ with equal anchors have to be compared, and only where an anchor stands in sever
 
 A passage that a third of all documents share is thus one row for each group and not one for each document. Texts are
 shuffled twice, to the same groups: for steps 1 and 2, whose shuffle is let go when the contexts are written, and for
-step 4. What is written holds contexts and the places of runs, packed, but no whole text. Anchors are
-compared by hash, contexts by their units, so that equal hashes alone remove nothing.
+step 4, after the answers are written and the shuffle of contexts is let go. What is written holds contexts, the places
+of runs and answers, packed, but no whole text. Anchors are compared by hash, contexts by their units, so that equal
+hashes alone remove nothing.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ RESOLVED_AT_ONCE = 4_000
 #: Lots in which a group works its buckets off, which bounds the contexts that it holds; anchors compared at once.
 LOTS = 4
 COMPARED_AT_ONCE = 20_000
+#: Above so many buckets, a bucket has as much as so many groups.
+LEAST_BUCKETS = 96
+GROUPS_A_BUCKET = 3
 
 
 @dataclass(frozen=True)
@@ -126,6 +130,11 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def bucket_count(groups: int) -> int:
+    """Fewer buckets than groups where there are many: each group sends each bucket a row, packed for itself."""
+    return min(groups, max(LEAST_BUCKETS, groups // GROUPS_A_BUCKET))
+
+
 def in_buckets(buckets: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
     """Buckets that occur, with the places of their items."""
     order = np.argsort(buckets, kind="stable")
@@ -328,7 +337,7 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
     """(id, n_units, n_removed, n_spans, kept_sha256, kept) of each row; ``kept`` where something was removed."""
     bounded_batches(docs.sparkSession)
     groups = max(1, -(-input_bytes(docs, text_col) // group_bytes))
-    buckets = groups
+    buckets = bucket_count(groups)
     texts = groups_of(docs, id_col, text_col, groups)
 
     def anchors(table: pa.Table) -> pa.Table:
@@ -415,7 +424,8 @@ def shared_windows(docs: DataFrame, kind: WindowKind, id_col: str = "doc_id", te
         return pa.table({"grp": table.column("grp"), "bucket": table.column("bucket"), "count": table.column("count"), "masks": data})
 
     sent = both.where("id is null").select("grp", "bucket", "count", "content", "rest")
-    told = sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, count int, masks binary")
+    # written, so that the shuffle of contexts is let go before texts are shuffled again
+    told = written(sent.groupBy("bucket").applyInArrow(decided, "grp int, bucket int, count int, masks binary"), "masks")
 
     def applied(left: pa.Table, right: pa.Table) -> pa.Table:
         let_go()

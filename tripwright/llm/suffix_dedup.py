@@ -54,6 +54,11 @@ def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return prefix, inverse
 
 
+def windows_of(data: np.ndarray, length: int) -> np.ndarray:
+    """All windows of some bytes, as items that overlap."""
+    return np.ndarray((max(0, len(data) - length + 1),), f"V{length}", data, 0, (1,))
+
+
 class Suffixes:
     """Suffixes of a text of which the first ``length`` bytes count; the text goes on at least that far."""
 
@@ -77,10 +82,11 @@ class Suffixes:
     def verified(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Extensions confirmed by the bytes; the first difference counts where hashes collided."""
         out = length.copy()
-        steps = np.arange(self.length)
+        steps, rows = np.arange(self.length), windows_of(self.data, self.length)
         for at in range(0, len(a), 10_000):
             some = slice(at, at + 10_000)
-            differ = (self.data[a[some, None] + steps] != self.data[b[some, None] + steps]) & (steps < length[some, None])
+            one, other = (rows[x[some]].view(np.uint8).reshape(-1, self.length) for x in (a, b))
+            differ = (one != other) & (steps < length[some, None])
             bad = differ.any(1)
             out[some] = np.where(bad, differ.argmax(1), length[some])
         return out
@@ -156,7 +162,7 @@ class Suffixes:
 def rows_at(units: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """The windows that start at some places, a row each, in whole 8-byte words with zeros behind."""
     out = np.zeros((len(at), -(-length // 8) * 8), np.uint8)
-    out[:, :length] = np.ndarray((len(units) - length + 1,), f"V{length}", units, 0, (1,))[at].view(np.uint8).reshape(-1, length)
+    out[:, :length] = windows_of(units, length)[at].view(np.uint8).reshape(-1, length)
     return out.view(np.uint64)
 
 
@@ -210,8 +216,7 @@ def same_windows(units: np.ndarray, at: np.ndarray, part: tuple[np.ndarray, ...]
 
 def suffix_classes(units: np.ndarray, at: np.ndarray, part: list[np.ndarray], length: int) -> np.ndarray:
     """A number for each suffix, equal for equal ones of one part: by their order, and extensions of neighbours."""
-    text = np.ndarray((len(units) - length + 1,), f"V{length}", units, 0, (1,))[at].tobytes()
-    suffixes, own = Suffixes(text, length), np.arange(len(at)) * length
+    suffixes, own = Suffixes(windows_of(units, length)[at].tobytes(), length), np.arange(len(at)) * length
     order = np.lexsort([*suffixes.leading(own), *part])
     changes = np.zeros(len(at) - 1, bool)
     for x in part:
